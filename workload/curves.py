@@ -227,9 +227,9 @@ ORACLES = {
                round(count(*) FILTER (WHERE score > cut AND y = 0) / (SELECT sum(1 - y) FROM ev)::DOUBLE, 6) AS fpr,
                round(coalesce(count(*) FILTER (WHERE score > cut AND y = 1) / nullif(count(*) FILTER (WHERE score > cut), 0)::DOUBLE, 0), 6) AS precision
         FROM {sql_quantiles('ev', 'score', _QUANTILES)} q, ev GROUP BY point, cut""",
-    "class_quantile_cut": f"""{_EV}, at AS (SELECT * FROM ev WHERE y = 1)
+    "class_quantile_cut": f"""{_EV}, att AS (SELECT * FROM ev WHERE y = 1)
         SELECT event_type, count(*) AS n, round(cut, 6) AS cut
-        FROM ev, {sql_quantiles('at', 'score', [1.0 - 0.90])} q WHERE score >= cut GROUP BY event_type, cut""",
+        FROM ev, {sql_quantiles('att', 'score', [1.0 - 0.90])} q WHERE score >= cut GROUP BY event_type, cut""",
     "contamination_cut": f"""{_EV}
         SELECT event_type, count(*) AS n, round(cut, 6) AS cut
         FROM ev, {sql_quantiles('ev', 'score', [1.0 - 0.02])} q WHERE score >= cut GROUP BY event_type, cut""",
