@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import shuffle_width
 from .columns import c
 
-SUPPORT = 1e-3       # a key above this share of the rows counts as hot: at most 1 / SUPPORT keys
-MAX_SMALL_ROWS = 10_000
+SUPPORT = 1e-3              # a key above this share of the rows counts as hot: at most 1 / SUPPORT keys
+MAX_CLASS_ROWS = 10_000     # per-class tables that may travel through the driver
+MAX_KEY_ROWS = 100_000      # narrow key tables that may be broadcast
 
 
 def hot_keys(df: DataFrame, key: str, support: float = SUPPORT) -> list:
@@ -45,11 +46,22 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, salt_on:
     return salted.join(copies, [key, "__salt"], how).drop("__salt")
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast copy of a table after checking that it is small.
+def even_join(left: DataFrame, right: DataFrame, key: str, how: str, salt_on: Sequence[str],
+              max_rows: int = MAX_KEY_ROWS) -> DataFrame:
+    """Join rows with a table of one narrow row per key.
 
-    At most ``max_rows + 1`` rows reach the driver. A larger table comes back as it was, marked False,
-    and the caller joins it without a broadcast.
+    ``right`` should be a scan or a checkpoint: its first ``max_rows + 1`` rows are counted. If it is that
+    small it is broadcast and ``left`` is not shuffled at all; otherwise hot keys are salted.
+    """
+    if right.limit(max_rows + 1).count() <= max_rows:
+        return left.join(F.broadcast(right), key, how)
+    return salted_join(left, right, key, how, salt_on)
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_CLASS_ROWS) -> tuple[DataFrame, bool]:
+    """Broadcast copy of a per-class table after checking that it is small; computed only once.
+
+    At most ``max_rows + 1`` rows reach the driver. A larger table comes back as it was, marked False.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
@@ -64,5 +76,3 @@ def attach_small(left: DataFrame, right: DataFrame, key: str, salt_on: Sequence[
     if fits:
         return left.join(side, key, how)
     return salted_join(left, side, key, how, salt_on)
-
-

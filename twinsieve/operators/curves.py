@@ -121,21 +121,27 @@ def worst_trimmed(df: DataFrame, score: str, share: float = 0.10) -> tuple[DataF
 
 # ---------------------------------------------------------------- sweeps
 
-def _suffix_totals(cells: DataFrame, index: str, size: int, values: Sequence[str]) -> DataFrame:
-    """Totals of all cells that reach cut i, for i = 1..size; cuts nobody reaches give 0.
+def _cut_value(index: Column, cuts: Sequence[float]) -> Column:
+    return F.element_at(F.array(*[F.lit(float(t)) for t in cuts]), index)
 
-    ``cells`` has at most ``size + 1`` rows, so the expansion is bounded by the grid.
-    """
-    reached = cells.filter(c(index) > 0).select(
-        F.explode(F.sequence(F.lit(1), c(index))).alias("__cut"), *[c(v) for v in values])
-    sums = reached.groupBy("__cut").agg(*[F.sum(v).alias(v) for v in values])
-    grid = cells.sparkSession.range(1, size + 1).select(c("id").cast("int").alias("__cut"))
-    return grid.join(sums, "__cut", "left").select(
-        "__cut", *[F.coalesce(c(v), F.lit(0)).alias(v) for v in values])
 
+def _reached(cells: Column, name: str, condition) -> Column:
+    """Sum of one count over the cells that meet a condition."""
+    return F.aggregate(F.filter(cells, condition), F.lit(0).cast("bigint"), lambda acc, x: acc + x[name])
 
-def _cut_value(index: Column, cuts: Sequence[float]) -> Column:
-    return F.element_at(F.array(*[F.lit(float(t)) for t in cuts]), index)
+
+def _suffix_totals(cells: DataFrame, size: int) -> DataFrame:
+    """(cut, tp, fp, all_tp, all_fp): totals of the cells that reach cut 1..size, and of all cells.
+
+    ``cells`` holds at most ``size + 1`` rows (index, tp, fp), so they fit in one row; nothing is read twice.
+    """
+    row = cells.agg(F.collect_list(F.struct("index", "tp", "fp")).alias("cells"))
+    packed = c("cells")
+    return row.select(F.inline(F.transform(F.sequence(F.lit(1), F.lit(size)), lambda i: F.struct(
+        i.alias("cut"), _reached(packed, "tp", lambda x: x["index"] >= i).alias("tp"),
+        _reached(packed, "fp", lambda x: x["index"] >= i).alias("fp"),
+        _reached(packed, "tp", lambda x: F.lit(True)).alias("all_tp"),
+        _reached(packed, "fp", lambda x: F.lit(True)).alias("all_fp")))))
 
 
 def quantile_sweep(validation: DataFrame, y: str, score: str,
@@ -144,13 +150,11 @@ def quantile_sweep(validation: DataFrame, y: str, score: str,
     cuts = exact_quantiles(validation, {"s": c(score)}, probs or quantile_grid())["s"]
     if any(t is None for t in cuts):
         raise ValueError("no finite score to take quantiles of")
-    cells = validation.groupBy(cuts_passed(c(score), cuts, strict=True).alias("__index")).agg(
+    cells = validation.groupBy(cuts_passed(c(score), cuts, strict=True).alias("index")).agg(
         F.sum(c(y).cast("bigint")).alias("tp"), F.sum((1 - c(y)).cast("bigint")).alias("fp"))
-    totals = cells.agg(F.struct(F.sum("tp").alias("pos"), F.sum("fp").alias("neg"))).scalar()
-    swept = _suffix_totals(cells, "__index", len(cuts), ["tp", "fp"])
-    return swept.select(
-        c("__cut").alias("point"), _cut_value(c("__cut"), cuts).alias("threshold"),
-        ratio(c("tp"), totals["pos"]).alias("recall"), ratio(c("fp"), totals["neg"]).alias("fpr"),
+    return _suffix_totals(cells, len(cuts)).select(
+        c("cut").alias("point"), _cut_value(c("cut"), cuts).alias("threshold"),
+        ratio(c("tp"), c("all_tp")).alias("recall"), ratio(c("fp"), c("all_fp")).alias("fpr"),
         F.coalesce(ratio(c("tp"), c("tp") + c("fp")), F.lit(0.0)).alias("precision"))
 
 
@@ -164,15 +168,13 @@ def recheck_sweep(matched: DataFrame, y: str, proba: str, weight: str | None = N
     grid = list(cuts or recheck_grid())
     attacks = c(attack_weight) if attack_weight else c(y).cast("bigint")
     alerts = c(weight) if weight else F.lit(1)
-    cells = matched.groupBy(cuts_passed(c(proba), grid).alias("__index")).agg(
+    cells = matched.groupBy(cuts_passed(c(proba), grid).alias("index")).agg(
         F.sum(attacks).cast("bigint").alias("tp"), F.sum(alerts - attacks).cast("bigint").alias("fp"))
-    totals = cells.agg(F.struct(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))).scalar()
-    swept = _suffix_totals(cells, "__index", len(grid), ["tp", "fp"])
-    return swept.select(
-        _cut_value(c("__cut"), grid).alias("threshold"), c("fp").alias("fp_after"), c("tp").alias("tp_kept"),
-        totals["fp"].alias("fp_before"), totals["tp"].alias("tp_before"),
-        F.round(100 * (1 - ratio(c("fp"), totals["fp"])), 1).alias("fp_reduction_pct"),
-        F.round(100 * ratio(c("tp"), totals["tp"]), 1).alias("attack_retention_pct"))
+    return _suffix_totals(cells, len(grid)).select(
+        _cut_value(c("cut"), grid).alias("threshold"), c("fp").alias("fp_after"), c("tp").alias("tp_kept"),
+        c("all_fp").alias("fp_before"), c("all_tp").alias("tp_before"),
+        F.round(100 * (1 - ratio(c("fp"), c("all_fp"))), 1).alias("fp_reduction_pct"),
+        F.round(100 * ratio(c("tp"), c("all_tp")), 1).alias("attack_retention_pct"))
 
 
 def operating_point(curve: DataFrame, floor: float = RETENTION_FLOOR) -> DataFrame:
@@ -191,21 +193,30 @@ def operating_point(curve: DataFrame, floor: float = RETENTION_FLOOR) -> DataFra
 
 def joint_cells(df: DataFrame, y: str, first: str, second: str, cuts1: Sequence[float],
                 cuts2: Sequence[float]) -> DataFrame:
-    """Counts per (stage-1 cut, stage-2 cut) pair, from one pass over the rows."""
+    """Metrics of every (stage-1 cut, stage-2 cut) pair that flags a row, from one pass over the rows.
+
+    Rows collapse to one cell per pair of cut indexes; those few cells fit in one row.
+    """
     cells = df.groupBy(cuts_passed(c(first), cuts1).alias("i"), cuts_passed(c(second), cuts2).alias("j")).agg(
         F.sum(c(y).cast("bigint")).alias("tp"), F.sum((1 - c(y)).cast("bigint")).alias("fp"))
-    pos = cells.agg(F.sum("tp")).scalar()
-    pairs = (cells.filter((c("i") > 0) & (c("j") > 0))
-             .withColumn("i", F.explode(F.sequence(F.lit(1), c("i"))))
-             .withColumn("j", F.explode(F.sequence(F.lit(1), c("j"))))
-             .groupBy("i", "j").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp")))
-    p, r = ratio(c("tp"), c("tp") + c("fp")), ratio(c("tp"), pos)
-    return pairs.select(_cut_value(c("i"), cuts1).alias("stage1_cut"),
-                        _cut_value(c("j"), cuts2).alias("stage2_cut"),
+    row = cells.agg(F.collect_list(F.struct("i", "j", "tp", "fp")).alias("cells"))
+    row = row.withColumn("pos", _reached(c("cells"), "tp", lambda x: F.lit(True)))
+    pairs = (row.select("cells", "pos", F.explode(F.sequence(F.lit(1), F.lit(len(cuts1)))).alias("a"))
+             .select("cells", "pos", "a", F.explode(F.sequence(F.lit(1), F.lit(len(cuts2)))).alias("b"))
+             .select("a", "b", "pos", _reached(c("cells"), "tp", _both).alias("tp"),
+                     _reached(c("cells"), "fp", _both).alias("fp"))
+             .filter(c("tp") + c("fp") > 0))
+    p, r = ratio(c("tp"), c("tp") + c("fp")), ratio(c("tp"), c("pos"))
+    return pairs.select(_cut_value(c("a"), cuts1).alias("stage1_cut"),
+                        _cut_value(c("b"), cuts2).alias("stage2_cut"),
                         p.alias("precision"), r.alias("recall"),
                         (2 * p * r / (p + r + F.lit(EPSILON))).alias("f1"))
 
 
+def _both(x: Column) -> Column:
+    return (x["i"] >= c("a")) & (x["j"] >= c("b"))
+
+
 def joint_threshold(df: DataFrame, y: str, first: str, second: str, cuts1: Sequence[float] | None = None,
                     cuts2: Sequence[float] | None = None) -> DataFrame:
     """Best F1 pair of cuts when both stages must agree; ties take the lowest cuts.

@@ -112,14 +112,15 @@ def split_weights(flat: np.ndarray, shapes: Sequence[tuple]) -> Weights:
 
 # ---------------------------------------------------------------- data-parallel training
 
-def training_rows(df: DataFrame, id_col: str, features: str, seed: int, holdout: float) -> DataFrame:
-    """(x, held) in a fixed partitioning and order, both given by the row hash."""
+def training_rows(df: DataFrame, id_col: str, features: str, seed: int, holdout: float) -> tuple[DataFrame, int]:
+    """(x, held) in a fixed partitioning and order, both given by the row hash, and the partition count."""
     rows = df.select(feature_array(df, features).alias("x"), draw_text(c(id_col), seed).alias("__draw"))
     count = df.count()
     workers = max(1, min(shuffle_width(df.sparkSession), math.ceil(count / ROWS_PER_WORKER)))
     tail = F.conv(F.substring("__draw", 9, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
-    return (rows.withColumn("held", (tail < F.lit(holdout)).cast("int"))
-            .repartition(workers, "__draw").sortWithinPartitions("__draw").select("x", "held"))
+    fixed = (rows.withColumn("held", (tail < F.lit(holdout)).cast("int"))
+             .repartition(workers, "__draw").sortWithinPartitions("__draw").select("x", "held"))
+    return fixed, workers
 
 
 _SCHEMA = "layout int, worker int, n bigint, held_n bigint, held_loss double, blob binary"
@@ -184,7 +185,8 @@ def train_layouts(df: DataFrame, id_col: str, features: str, layouts: Sequence[S
                   epochs: int = FINAL_EPOCHS, seed: int = 42, rate: float = 1e-3, batch: int = 200,
                   patience: int = 10, holdout: float = 0.10, tolerance: float = 1e-4) -> list[Weights]:
     """Train all layouts in shared passes; each stops by itself when its held-out loss stalls."""
-    rows = training_rows(df, id_col, features, seed, holdout).persist(StorageLevel.MEMORY_AND_DISK)
+    rows, workers = training_rows(df, id_col, features, seed, holdout)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         width = rows.select(F.size("x")).first()[0]
         states, best = {}, {}
@@ -193,7 +195,6 @@ def train_layouts(df: DataFrame, id_col: str, features: str, layouts: Sequence[S
             flat = np.concatenate([a.ravel() for a in start])
             states[k] = ([a.shape for a in start], np.concatenate([flat, np.zeros(2 * len(flat))]), 0)
             best[k] = {"loss": math.inf, "flat": flat, "stalled": 0}
-        workers = rows.rdd.getNumPartitions()
         for epoch in range(epochs + 1):      # the extra pass only measures the last weights
             for k, mean in _gather(_epoch(rows, states, rate, batch, seed, epoch), workers).items():
                 shapes, flat, step = states[k]

@@ -30,14 +30,14 @@ def average_path(n: np.ndarray | int) -> np.ndarray:
     return np.where(n > 2, long, np.where(n == 2, 1.0, 0.0))
 
 
-def deal_rows(df: DataFrame, id_col: str, features: str, trees: int, subsample: int, seed: int) -> DataFrame:
+def deal_rows(df: DataFrame, id_col: str, features: str, trees: int, subsample: int, seed: int,
+              count: int) -> DataFrame:
     """(tree, draw, x): about ``OVERSAMPLE * subsample`` rows for each tree.
 
     The table is dealt into slots of that size by hash. A table with more slots than trees uses the
     first ``trees`` slots; a smaller one is dealt again with another hash until every tree has rows.
     The rows that move are about trees * slot size in either case.
     """
-    count = df.count()
     slots = max(1, int(count // (OVERSAMPLE * subsample)))
     rounds = math.ceil(trees / slots)
     rows = df.select(c(id_col).alias("id"), feature_array(df, features).alias("x"))
@@ -100,12 +100,13 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
             nodes = grow_tree(np.stack(chosen["x"].to_numpy()), int(key[0]), seed)
             return pd.DataFrame(nodes, columns=[f.split()[0] for f in _NODES.split(", ")])
 
-        dealt = deal_rows(df, get(self.idCol), get(self.featuresCol), get(self.trees), subsample, seed)
+        count = df.count()
+        dealt = deal_rows(df, get(self.idCol), get(self.featuresCol), get(self.trees), subsample, seed, count)
         # At most trees * (2 * subsample) small rows: the forest itself.
         table = dealt.groupBy("tree").applyInPandas(build, _NODES).toPandas()
         if table.empty:
             raise ValueError("no rows to grow trees from")
-        return self._copyValues(IsolationForestModel(pack(_forest_arrays(table, subsample, df.count()))))
+        return self._copyValues(IsolationForestModel(pack(_forest_arrays(table, subsample, count))))
 
 
 def _forest_arrays(table: pd.DataFrame, subsample: int, rows: int) -> dict[str, np.ndarray]:

@@ -19,15 +19,16 @@ ALPHA = 0.05
 
 # ---------------------------------------------------------------- counts and metric block
 
-def confusion(df: DataFrame, y: str, pred: str, weight: str | None = None) -> DataFrame:
-    """One row with tn, fp, fn, tp."""
-    w = c(weight) if weight else F.lit(1).cast("bigint")
+def confusion_cells(y: Column, pred: Column, weight: Column | None = None) -> list[Column]:
+    """The four confusion counts as aggregates; ``weight`` rows stand for several."""
+    w = F.lit(1).cast("bigint") if weight is None else weight
+    return [F.coalesce(F.sum(F.when((y == truth) & (pred.cast("int") == verdict), w)), F.lit(0)).cast("bigint").alias(name)
+            for truth, verdict, name in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp"))]
 
-    def cell(truth: int, verdict: int, name: str) -> Column:
-        hit = (c(y) == truth) & (c(pred).cast("int") == verdict)
-        return F.coalesce(F.sum(F.when(hit, w)), F.lit(0)).cast("bigint").alias(name)
 
-    return df.agg(cell(0, 0, "tn"), cell(0, 1, "fp"), cell(1, 0, "fn"), cell(1, 1, "tp"))
+def confusion(df: DataFrame, y: str, pred: str) -> DataFrame:
+    """One row with tn, fp, fn, tp."""
+    return df.agg(*confusion_cells(c(y), c(pred)))
 
 
 def metric_block(counts: DataFrame) -> DataFrame:
@@ -83,12 +84,7 @@ def _verdict(name: str, flag: Column) -> Column:
 
 
 def counts_by_system(expanded: DataFrame) -> DataFrame:
-    def cell(truth: int, verdict: int, name: str) -> Column:
-        hit = (c("y") == truth) & (c("pred") == verdict)
-        return F.coalesce(F.sum(F.when(hit, c("n"))), F.lit(0)).cast("bigint").alias(name)
-
-    return expanded.groupBy("system").agg(cell(0, 0, "tn"), cell(0, 1, "fp"), cell(1, 0, "fn"),
-                                          cell(1, 1, "tp"))
+    return expanded.groupBy("system").agg(*confusion_cells(c("y"), c("pred"), c("n")))
 
 
 def cascade_union(df: DataFrame, y: str, s1: str, s2: str) -> DataFrame:
@@ -113,9 +109,8 @@ def combined_confusion(df: DataFrame, y: str, s1: str, s2: str) -> DataFrame:
     """Metric block of the re-checked system and its share of stage-1 false positives removed."""
     cells = with_final_verdict(joint_counts(df, y, s1, s2), "s1", "s2")
     before = F.sum(F.when((c("y") == 0) & (c("s1") == 1), c("n")))
-    after = F.coalesce(F.sum(F.when((c("y") == 0) & (c("final") == 1), c("n"))), F.lit(0))
-    removed = cells.agg((1 - ratio(after, before)).alias("r")).scalar()
-    return metric_block(confusion(cells, "y", "final", "n")).withColumn("fp_reduction", removed)
+    counts = cells.agg(*confusion_cells(c("y"), c("final"), c("n")), before.alias("fp_before"))
+    return metric_block(counts).withColumn("fp_reduction", 1 - ratio(c("fp"), c("fp_before"))).drop("fp_before")
 
 
 def combine_counters(stage1: Mapping[str, int], recheck: Mapping[str, int]) -> dict[str, int]:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import c, endpoint_key, ratio
-from ..functions.skew import salted_join
+from ..functions.skew import even_join
+from ..session import cut_lineage
 
 
 def with_endpoint_key(df: DataFrame, src_ip: str, dst_ip: str, src_port: str, dst_port: str,
@@ -20,11 +21,11 @@ def flows_for_alerts(flows: DataFrame, alerts: DataFrame, key: str = "key",
     """Segments whose key is among the alert keys.
 
     Put this before the merge: the merge groups by connection id, so the optimizer cannot move the
-    filter below it. The alert keys are made distinct first. Their number grows with the data, so no
-    broadcast is forced; the adaptive planner broadcasts them when they turn out small.
+    filter below it. The distinct alert keys are written once; they are broadcast only when they turn
+    out to be few, since their number grows with the data.
     """
-    wanted = alerts.select(c(key)).distinct()
-    return salted_join(flows, wanted, key, "left_semi", salt_on or flows.columns)
+    wanted = cut_lineage(alerts.select(c(key)).distinct())
+    return even_join(flows, wanted, key, "left_semi", salt_on or flows.columns)
 
 
 def score_per_key(flows: DataFrame, key: str, flow_id: str, score: str, pick: str = "last") -> DataFrame:
@@ -35,14 +36,17 @@ def score_per_key(flows: DataFrame, key: str, flow_id: str, score: str, pick: st
 
 def look_up_scores(alerts: DataFrame, scores: DataFrame, key: str = "key", how: str = "inner",
                    salt_on: Sequence[str] | None = None) -> DataFrame:
-    """Put the second-stage score beside each alert. One key may hold any share of the alerts."""
-    return salted_join(alerts, scores, key, how, salt_on or alerts.columns)
+    """Put the second-stage score beside each alert. One key may hold any share of the alerts.
+
+    ``scores`` has one row per key and should be materialised (see ``even_join``).
+    """
+    return even_join(alerts, scores, key, how, salt_on or alerts.columns)
 
 
 def unmatched(alerts: DataFrame, scores: DataFrame, key: str = "key",
               salt_on: Sequence[str] | None = None) -> DataFrame:
     """Alerts without a connection; they keep their first-stage verdict."""
-    return salted_join(alerts, scores.select(c(key)), key, "left_anti", salt_on or alerts.columns)
+    return even_join(alerts, scores.select(c(key)), key, "left_anti", salt_on or alerts.columns)
 
 
 def alerts_by_key(alerts: DataFrame, key: str, y: str) -> DataFrame:
@@ -63,5 +67,5 @@ def match_rate(alerts: DataFrame, scores: DataFrame, key: str = "key", y: str =
 
 def without_training_flows(flows: DataFrame, training: DataFrame, flow_id: str) -> DataFrame:
     """Segments of connections the model did not train on."""
-    seen = training.select(c(flow_id)).filter(c(flow_id).isNotNull()).distinct()
-    return salted_join(flows, seen, flow_id, "left_anti", flows.columns)
+    seen = cut_lineage(training.select(c(flow_id)).filter(c(flow_id).isNotNull()).distinct())
+    return even_join(flows, seen, flow_id, "left_anti", flows.columns)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.columns import c, name_has, ratio
 
@@ -52,8 +54,8 @@ def top_null_columns(df: DataFrame, limit: int = 30) -> DataFrame:
 
 def null_columns(df: DataFrame) -> DataFrame:
     """Columns without a single value."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return null_counts(df).filter(c("n_null") == total).select("column_name")
+    row = df.agg(*[(F.count(c(n)) == 0).alias(n) for n in df.columns])
+    return one_row_to_long(row, "column_name", "empty").filter(c("empty")).select("column_name")
 
 
 def presence_rate(df: DataFrame, columns: Sequence[str], cls: str | None = None) -> DataFrame:
@@ -70,9 +72,8 @@ def class_counts(df: DataFrame, cls: str) -> DataFrame:
 
 def class_mix(df: DataFrame, cls: str) -> DataFrame:
     """Rows and share of each class."""
-    counted = class_counts(df, cls)
-    total = counted.agg(F.sum("n")).scalar()
-    return counted.withColumn("share", ratio(c("n"), total))
+    total = F.sum("n").over(Window.partitionBy())       # over one row per class
+    return class_counts(df, cls).withColumn("share", ratio(c("n"), total))
 
 
 def column_types(df: DataFrame) -> dict[str, int]:
@@ -162,26 +163,29 @@ def integrity_report(df: DataFrame, cls: str, limits: GateLimits = GateLimits(),
                      key: str | None = None) -> DataFrame:
     """(check_name, passed) of the six gate checks. ``key`` is left out of the duplicate test."""
     data = df.drop(key) if key else df
-    counted = class_counts(df, cls).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(c(cls) == limits.benign, c("n"))), F.lit(0)).alias("benign"),
-        F.collect_set(F.when(c(cls).isin(list(limits.classes)), c(cls))).alias("seen"))
+    counted = data.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(c(cls) == limits.benign).alias("benign"),
+        *[F.count_if(c(cls) == name).alias(f"__class{i}") for i, name in enumerate(limits.classes)],
+        *[F.count(c(n)).alias(f"__filled{i}") for i, n in enumerate(data.columns)])
     duplicates = duplicate_count(data).select("n_duplicate").scalar()
-    empty = null_columns(data).agg(F.count(F.lit(1))).scalar()
     rows, benign = c("rows"), c("benign")
     attacks, share = rows - benign, 100 * ratio(rows - benign, rows)
     checks = {
         "benign_quota": F.abs(benign - limits.benign_quota) < limits.benign_slack,
         "attack_rows": attacks.between(*limits.attack_rows),
         "attack_share": share.between(*limits.attack_share_pct),
-        "all_classes_present": F.size("seen") == len(limits.classes),
+        "all_classes_present": _all_above_zero("__class", len(limits.classes)),
         "few_duplicates": duplicates < limits.duplicate_share * rows,
-        "no_empty_column": empty == 0,
+        "no_empty_column": _all_above_zero("__filled", len(data.columns)),
     }
     row = counted.select(*[F.coalesce(test, F.lit(False)).alias(name) for name, test in checks.items()])
     return one_row_to_long(row, "check_name", "passed")
 
 
+def _all_above_zero(prefix: str, size: int) -> Column:
+    return reduce(and_, [c(f"{prefix}{i}") > 0 for i in range(size)], F.lit(True))
+
+
 def require_integrity(df: DataFrame, cls: str, limits: GateLimits = GateLimits(), key: str | None = None) -> None:
     failed = [r["check_name"] for r in integrity_report(df, cls, limits, key).filter(~c("passed")).collect()]
     if failed:

@@ -182,8 +182,9 @@ def with_occurrence(df: DataFrame, out: str = "occurrence") -> DataFrame:
 def class_weights(df: DataFrame, y: str) -> DataFrame:
     """(label, n, weight) with weight = rows / (classes * rows of the class)."""
     counted = df.groupBy(c(y)).agg(F.count(F.lit(1)).alias("n"))
-    totals = counted.agg(F.struct(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
-    return counted.withColumn("weight", ratio(totals["n"], totals["k"] * c("n")))
+    classes = Window.partitionBy()      # over one row per class
+    rows, kinds = F.sum("n").over(classes), F.count(F.lit(1)).over(classes)
+    return counted.withColumn("weight", ratio(rows, kinds * c("n")))
 
 
 def with_class_weight(df: DataFrame, y: str, out: str = "weight") -> DataFrame:

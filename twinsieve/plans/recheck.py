@@ -12,6 +12,7 @@ from ..operators.curves import RETENTION_FLOOR, operating_point, recheck_sweep
 from ..operators.matching import (alerts_by_key, flows_for_alerts, look_up_scores, score_per_key,
                                   with_endpoint_key, without_training_flows)
 from ..operators.segments import merge_segments
+from ..session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -36,14 +37,15 @@ def flow_scores(segments: DataFrame, alerts: DataFrame, score: Callable[[DataFra
     """(key, proba) of every connection an alert points to.
 
     Segments are cut down to the alerts' keys first, and to connections outside the training set, so the
-    merge and the model only see what is needed. ``score`` adds ``proba`` to merged connections.
+    merge and the model only see what is needed. ``score`` adds ``proba`` to merged connections. The
+    result is written to the checkpoint folder, because sweep, summary and look-up all read it.
     """
     fresh = segments if training is None else without_training_flows(segments, training, columns.flow_id)
     keyed = with_endpoint_key(fresh, *columns.endpoints)
     wanted = flows_for_alerts(keyed, alerts).drop("key")
     merged = merge_segments(wanted, [columns.flow_id], columns.order)
     scored = with_endpoint_key(score(merged), *columns.endpoints)
-    return score_per_key(scored, "key", columns.flow_id, "proba", pick)
+    return cut_lineage(score_per_key(scored, "key", columns.flow_id, "proba", pick))
 
 
 def match_alerts(alerts: DataFrame, scores: DataFrame, row_id: str, cut: float | None = None) -> DataFrame:
@@ -95,7 +97,7 @@ def with_percentages(summary: DataFrame) -> DataFrame:
 def recheck(alerts: DataFrame, segments: DataFrame, score: Callable[[DataFrame], DataFrame],
             columns: FlowColumns = FlowColumns(), training: DataFrame | None = None,
             floor: float = RETENTION_FLOOR) -> DataFrame:
-    """Whole re-check as one plan: key, semi-join, merge, score, look-up, sweep, choice, summary."""
+    """Whole re-check: key, semi-join, merge, score, look-up, sweep, choice, summary."""
     scores = flow_scores(segments, alerts, score, columns, training)
     keys = matched_keys(alerts, scores)
     cut = choose_cut(keys, floor).select("threshold").scalar()
