@@ -110,25 +110,44 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
 
 
 def _forest_arrays(table: pd.DataFrame, subsample: int, rows: int) -> dict[str, np.ndarray]:
-    """Nodes of all trees in one set of arrays, with absolute child positions."""
+    """Nodes of all trees in one set of arrays with absolute child positions.
+
+    A leaf points to itself and its split is infinite, so a row that reached it stays there.
+    """
     table = table.sort_values(["tree", "node"]).reset_index(drop=True)
-    start = table.groupby("tree")["node"].transform("size").groupby(table["tree"]).first().cumsum()
-    offset = table["tree"].map((start - table.groupby("tree").size()).to_dict()).to_numpy()
+    sizes = table.groupby("tree")["node"].size()
+    offset = table["tree"].map((sizes.cumsum() - sizes).to_dict()).to_numpy()
     leaf = (table["feature"] < 0).to_numpy()
     here = np.arange(len(table))
-    used = min(subsample, rows)
+    left = np.where(leaf, here, table["left"].to_numpy() + offset)
+    right = np.where(leaf, here, table["right"].to_numpy() + offset)
     return {
         "feature": np.where(leaf, 0, table["feature"]).astype(np.int32),
         "split": np.where(leaf, np.inf, table["split"]),
-        "left": np.where(leaf, here, table["left"] + offset).astype(np.int32),
-        "right": np.where(leaf, here, table["right"] + offset).astype(np.int32),
+        "children": np.stack([left, right], axis=1).astype(np.int32),
         "length": np.where(leaf, table["depth"] + average_path(table["size"].to_numpy()), 0.0),
         "roots": np.flatnonzero(table["node"].to_numpy() == 0).astype(np.int32),
         "levels": np.array([int(table["depth"].max())]),
-        "norm": np.array([float(average_path(used)) or 1.0]),
+        "norm": np.array([float(average_path(min(subsample, rows))) or 1.0]),
     }
 
 
+def mean_depth(x: np.ndarray, forest: dict[str, np.ndarray], chunk: int = 512) -> np.ndarray:
+    """Mean path length of every row: all trees descend together, a chunk of rows at a time."""
+    feature, split, children = forest["feature"], forest["split"], forest["children"].ravel()
+    out = np.empty(len(x))
+    for start in range(0, len(x), chunk):
+        part = np.ascontiguousarray(x[start:start + chunk])
+        first = (np.arange(len(part)) * part.shape[1])[:, None]
+        values = part.ravel()
+        at = np.repeat(forest["roots"][None, :], len(part), axis=0)
+        for _ in range(int(forest["levels"][0])):
+            above = values.take(first + feature.take(at)) > split.take(at)
+            at = children.take(2 * at + above)
+        out[start:start + chunk] = forest["length"].take(at).mean(axis=1)
+    return out
+
+
 class IsolationForestModel(Model, _ForestParams, StateModel, DefaultParamsReadable, DefaultParamsWritable):
 
     def __init__(self, state: str = ""):
@@ -137,18 +156,10 @@ class IsolationForestModel(Model, _ForestParams, StateModel, DefaultParamsReadab
         self._set(state=state)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        f = self.arrays()
-        levels, norm = int(f["levels"][0]), float(f["norm"][0])
+        forest = self.arrays()
+        norm = float(forest["norm"][0])
 
         def anomaly(x: np.ndarray) -> np.ndarray:
-            rows = np.arange(len(x))
-            total = np.zeros(len(x))
-            for root in f["roots"]:
-                at = np.full(len(x), root, dtype=np.int32)
-                for _ in range(levels):
-                    goes_left = x[rows, f["feature"][at]] <= f["split"][at]
-                    at = np.where(goes_left, f["left"][at], f["right"][at])
-                total += f["length"][at]
-            return np.exp2(-total / len(f["roots"]) / norm)
+            return np.exp2(-mean_depth(x, forest) / norm)
 
         return with_batch_score(df, self.getOrDefault(self.featuresCol), self.getOrDefault(self.scoreCol), anomaly)

@@ -67,7 +67,7 @@ def robust_trim(spark, sf_dir):
 
 def rank_fusion_query(spark, sf_dir):
     fused = rank_fusion(events(spark, sf_dir), ["score", "s2"], "event_id")
-    return round6(fused.select("event_id", "fused"), "fused")
+    return round6(fused.select("event_id", "fused"), "fused", digits=9)
 
 
 def joint_threshold(spark, sf_dir):
@@ -238,7 +238,7 @@ ORACLES = {
     "rank_fusion": f"""{_EV}, r AS (
           SELECT event_id, (rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) * 0.5e0) / count(*) OVER () AS r1,
                  (rank() OVER (ORDER BY s2) + (count(*) OVER (PARTITION BY s2) - 1) * 0.5e0) / count(*) OVER () AS r2 FROM ev)
-        SELECT event_id, round((r1 + r2) / 2, 6) AS fused FROM r""",
+        SELECT event_id, round((r1 + r2) / 2, 9) AS fused FROM r""",
     "joint_threshold": f"""{_EV}, a AS (SELECT cut FROM {sql_quantiles('ev', 'score', _QUANTILES24)}),
         j AS (SELECT cut AS stage1_cut, t AS stage2_cut, count(*) FILTER (WHERE y = 1) AS tp, count(*) AS flagged
               FROM ev JOIN a ON score >= cut JOIN (VALUES {_GRID}) AS g(t) ON s2 >= t GROUP BY cut, t),
