@@ -66,6 +66,12 @@ def test_merge_rules_and_precedence(spark):
     assert (f2["Total Fwd"], f2["Pkt Max"], f2["Src Port"]) == (0.0, None, None)
 
 
+def test_text_measures_and_nan_are_tolerated(spark):
+    df = spark.createDataFrame([("f", 1, "1.5", float("nan")), ("f", 2, "bad", 4.0)], "`Flow ID` string, Timestamp int, Rate string, `Pkt Max` double")
+    row = merge_segments(df).first()
+    assert (row["Rate"], row["Pkt Max"]) == (1.5, 4.0)
+
+
 def test_semi_join_and_holdout(spark):
     keyed = with_endpoint_key(segments(spark), "Src IP", "Dst IP", "Src Port", "Dst Port")
     wanted = keyed.filter(c("Flow ID") == "f2").select("key")

@@ -23,6 +23,10 @@ def finite_or_null(col: Column) -> Column:
     return F.when(F.isnan(col) | (F.abs(col) == infinity), F.lit(None)).otherwise(col)
 
 
+def nan_to_null(col: Column) -> Column:
+    return F.when(~F.isnan(col), col)
+
+
 def to_number(col: Column, data_type: T.DataType | None = None) -> Column:
     """Numeric value of a column as double; text that is no number becomes null.
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.columns import c, name_has
+from ..functions.columns import c, name_has, nan_to_null, to_number
 
 # Identity columns of a segment table and its class column.
 IDENTITY = ["Flow ID", "Src IP", "Src Port", "Dst IP", "Dst Port", "Protocol", "Timestamp"]
@@ -29,10 +29,13 @@ def merge_rules(columns: Sequence[str], identity: Sequence[str] = tuple(IDENTITY
     return {name: merge_rule(name) for name in columns if name not in skip}
 
 
-def _merged(name: str, rule: str) -> Column:
+def _merged(name: str, rule: str, data_type: T.DataType) -> Column:
+    value = c(name)
+    if isinstance(data_type, (T.StringType, T.FractionalType)):
+        value = nan_to_null(to_number(value, data_type))      # missing, as NaN is in the measures
     if rule == "sum":       # an all-null sum is 0
-        return F.coalesce(F.sum(c(name)), F.lit(0)).alias(name)
-    return {"max": F.max, "min": F.min, "mean": F.avg}[rule](c(name)).alias(name)
+        return F.coalesce(F.sum(value), F.lit(0)).alias(name)
+    return {"max": F.max, "min": F.min, "mean": F.avg}[rule](value).alias(name)
 
 
 def merge_segments(df: DataFrame, key: Sequence[str] = ("Flow ID",), order: Sequence[str] = ("Timestamp",),
@@ -41,7 +44,8 @@ def merge_segments(df: DataFrame, key: Sequence[str] = ("Flow ID",), order: Sequ
     """One row per connection.
 
     Identity columns take the first non-null value in ``order``; give enough order columns to make it
-    unique. Rows with a null key are dropped. All aggregates combine on the map side, so one connection
+    unique. Measures read as text are taken as numbers, and NaN counts as missing. Rows with a null key
+    are dropped. All aggregates combine on the map side, so one connection
     may hold any share of the rows.
     """
     present = [n for n in identity if n in df.columns and n not in key]
@@ -53,4 +57,4 @@ def merge_segments(df: DataFrame, key: Sequence[str] = ("Flow ID",), order: Sequ
     for name in key:
         valued = valued.filter(c(name).isNotNull())
     return valued.groupBy(*[c(k) for k in key]).agg(
-        *firsts, *[_merged(n, r) for n, r in rules.items()], *counted)
+        *firsts, *[_merged(n, r, df.schema[n].dataType) for n, r in rules.items()], *counted)
