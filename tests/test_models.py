@@ -74,12 +74,21 @@ def test_forest_on_a_table_smaller_than_its_subsample(spark, planted):
     assert [float(average_path(n)) for n in (1, 2)] == [0.0, 1.0] and 1.2 < float(average_path(3)) < 1.8
 
 
+def test_forest_alerts_on_its_contamination_share(planted, tmp_path):
+    model = IsolationForest(trees=30, contamination=0.02).fit(planted)
+    assert model.transform(planted).filter("alert = 1").count() == 40
+    model.write().save(str(tmp_path / "f"))
+    assert IsolationForestModel.load(str(tmp_path / "f")).transform(planted).filter("alert = 1").count() == 40
+
+
 def test_two_means_cut(spark, tmp_path):
     df = spark.createDataFrame([(float(v),) for v in [0.1, 0.2, 0.15, 9.0, 11.0]], "score double")
-    model = TwoMeansCutoff(restarts=3).fit(df)
+    model = TwoMeansCutoff().fit(df)
     alerts = model.transform(df)
     assert sorted(r["score"] for r in alerts.filter("alert = 1").collect()) == [9.0, 11.0]
     assert alert_cluster(alerts, "alert", "score").first()["alert_cluster"] == 1
+    one_value = spark.createDataFrame([(2.0,), (2.0,)], "score double")
+    assert TwoMeansCutoff().fit(one_value).transform(one_value).filter("alert = 1").count() == 0
     model.write().save(str(tmp_path / "k"))
     assert TwoMeansCutoffModel.load(str(tmp_path / "k")).getOrDefault("cut") == model.getOrDefault("cut")
 

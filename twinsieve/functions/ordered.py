@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import shuffle_width
 from .columns import c, draw_text, finite_or_null, uniform_of
+from .skew import small_side
 
 _BUCKET = "__bucket"
 
@@ -104,7 +105,8 @@ def draw_cuts(df: DataFrame, key: Sequence[str], seed: int, group: str,
               .filter((c("rank") > c("__upto") - c("__n")) & (c("rank") <= c("__upto")))
               .select(c(group), c(_BUCKET), c("part"),
                       (c("rank") - c("__upto") + c("__n")).alias("__inside")))
-    edge = tagged.join(wanted, [group, _BUCKET])
+    # A row per group and rank. With its size proven it is broadcast, and only edge rows are shuffled.
+    edge = tagged.join(small_side(wanted)[0], [group, _BUCKET])
     place = Window.partitionBy(c(group), c("part"), c(_BUCKET)).orderBy(c("__draw"), *[c(k) for k in key])
     return (edge.withColumn("__place", F.row_number().over(place))
             .filter(c("__place") == c("__inside"))

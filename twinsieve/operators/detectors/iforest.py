@@ -13,6 +13,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from ...functions.columns import c, draw_text, draw_uniform
+from ..curves import contamination_cut
 from .common import DetectorParams, StateModel, feature_array, pack, with_batch_score
 
 TREES = 200
@@ -76,17 +77,25 @@ def grow_tree(x: np.ndarray, tree: int, seed: int) -> list[tuple]:
 class _ForestParams(DetectorParams):
     trees = Param(Params._dummy(), "trees", "number of trees", TypeConverters.toInt)
     subsample = Param(Params._dummy(), "subsample", "rows per tree", TypeConverters.toInt)
+    contamination = Param(Params._dummy(), "contamination", "share of training rows to alert on; 0 gives no alerts column",
+                          TypeConverters.toFloat)
+    predictionCol = Param(Params._dummy(), "predictionCol", "0/1 alert", TypeConverters.toString)
+    cut = Param(Params._dummy(), "cut", "score above which a row alerts", TypeConverters.toFloat)
 
     def _defaults(self) -> None:
         self._setDefault(featuresCol="features", scoreCol="score", idCol="row_id", seed=42,
-                         trees=TREES, subsample=SUBSAMPLE)
+                         trees=TREES, subsample=SUBSAMPLE, contamination=0.0, predictionCol="alert")
 
 
 class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Score 2^(-mean depth / c(subsample)); higher is more anomalous. No labels are used."""
+    """Score 2^(-mean depth / c(subsample)); higher is more anomalous. No labels are used.
+
+    With ``contamination`` the model also alerts on scores above that share's quantile of the training scores.
+    """
 
     @keyword_only
-    def __init__(self, *, featuresCol=None, scoreCol=None, idCol=None, seed=None, trees=None, subsample=None):
+    def __init__(self, *, featuresCol=None, scoreCol=None, idCol=None, seed=None, trees=None, subsample=None,
+                 contamination=None, predictionCol=None):
         super().__init__()
         self._defaults()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
@@ -106,7 +115,10 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
         table = dealt.groupBy("tree").applyInPandas(build, _NODES).toPandas()
         if table.empty:
             raise ValueError("no rows to grow trees from")
-        return self._copyValues(IsolationForestModel(pack(_forest_arrays(table, subsample, count))))
+        model = self._copyValues(IsolationForestModel(pack(_forest_arrays(table, subsample, count))))
+        if get(self.contamination) > 0:
+            model._set(cut=contamination_cut(model.transform(df), get(self.scoreCol), get(self.contamination)))
+        return model
 
 
 def _forest_arrays(table: pd.DataFrame, subsample: int, rows: int) -> dict[str, np.ndarray]:
@@ -162,4 +174,9 @@ class IsolationForestModel(Model, _ForestParams, StateModel, DefaultParamsReadab
         def anomaly(x: np.ndarray) -> np.ndarray:
             return np.exp2(-mean_depth(x, forest) / norm)
 
-        return with_batch_score(df, self.getOrDefault(self.featuresCol), self.getOrDefault(self.scoreCol), anomaly)
+        score = self.getOrDefault(self.scoreCol)
+        scored = with_batch_score(df, self.getOrDefault(self.featuresCol), score, anomaly)
+        if not self.isSet(self.cut):
+            return scored
+        above = c(score) > F.lit(self.getOrDefault(self.cut))
+        return scored.withColumn(self.getOrDefault(self.predictionCol), above.cast("int"))

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.stat import Summarizer
@@ -66,36 +65,43 @@ class PcaDetectorModel(Model, _PcaParams, StateModel, DefaultParamsReadable, Def
 
 # ---------------------------------------------------------------- two-means cut-off
 
+def two_means_split(df: DataFrame, score: str) -> DataFrame:
+    """(low_centre, high_centre, cut) of the best two clusters on log1p(score), in one row.
+
+    In one dimension the best two clusters are the two sides of one split, so the optimum is exact: prefix
+    sums over the distinct values give every split's between-cluster sum of squares. No restarts, no passes
+    over cached rows. The cut lies half-way between the centres.
+    """
+    logs = df.select(F.log1p(c(score).cast("double")).alias("v")).filter(c("v").isNotNull() & ~F.isnan("v"))
+    hist = logs.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("s", c("v") * c("n"))
+    summed = prefix_sums(with_value_bucket(hist, "v", sample=logs), "__bucket", [c("v")], ["n", "s"])
+    low, high = c("s_cum") / c("n_cum"), F.try_divide(c("s_all") - c("s_cum"), c("n_all") - c("n_cum"))
+    between = F.when(c("n_cum") < c("n_all"),
+                     c("n_cum") * low * low + (c("n_all") - c("n_cum")) * high * high)
+    best = F.max_by(F.struct(low.alias("low_centre"), high.alias("high_centre")), F.struct(between, -c("v")))
+    middle = (c("low_centre") + c("high_centre")) / 2
+    return summed.agg(best.alias("b")).select("b.*").withColumn("cut", F.coalesce(middle, c("low_centre")))
+
+
 class _TwoMeansParams(DetectorParams):
-    restarts = Param(Params._dummy(), "restarts", "k-means starts", TypeConverters.toInt)
     predictionCol = Param(Params._dummy(), "predictionCol", "0/1 alert", TypeConverters.toString)
     cut = Param(Params._dummy(), "cut", "log1p score above which a row alerts", TypeConverters.toFloat)
 
     def _defaults(self) -> None:
-        self._setDefault(scoreCol="score", predictionCol="alert", restarts=10, seed=42)
+        self._setDefault(scoreCol="score", predictionCol="alert")
 
 
 class TwoMeansCutoff(Estimator, _TwoMeansParams, DefaultParamsReadable, DefaultParamsWritable):
     """Label-free alert rule: two clusters on log1p(error); the one with the higher mean error alerts."""
 
     @keyword_only
-    def __init__(self, *, scoreCol=None, predictionCol=None, restarts=None, seed=None):
+    def __init__(self, *, scoreCol=None, predictionCol=None):
         super().__init__()
         self._defaults()
         self._set(**{n: v for n, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> TwoMeansCutoffModel:
-        rows = log_vector(df, self.getOrDefault(self.scoreCol)).select("__v").persist()
-        try:
-            seed, restarts = self.getOrDefault(self.seed), self.getOrDefault(self.restarts)
-            starts = [KMeans(k=2, seed=seed + i, featuresCol="__v").fit(rows) for i in range(restarts)]
-            best = min(starts, key=lambda m: m.summary.trainingCost)
-        finally:
-            rows.unpersist()
-        # In one dimension the clusters meet half-way between their centres, and the upper one has the
-        # larger mean error.
-        centres = [float(v[0]) for v in best.clusterCenters()]
-        return self._copyValues(TwoMeansCutoffModel(sum(centres) / len(centres)))
+        return self._copyValues(TwoMeansCutoffModel(two_means_split(df, self.getOrDefault(self.scoreCol)).first()["cut"]))
 
 
 class TwoMeansCutoffModel(Model, _TwoMeansParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -110,11 +116,6 @@ class TwoMeansCutoffModel(Model, _TwoMeansParams, DefaultParamsReadable, Default
         return df.withColumn(self.getOrDefault(self.predictionCol), above.cast("int"))
 
 
-def log_vector(df: DataFrame, score: str) -> DataFrame:
-    logged = df.withColumn("__log", F.log1p(c(score)))
-    return VectorAssembler(inputCols=["__log"], outputCol="__v").transform(logged)
-
-
 def cluster_means(df: DataFrame, cluster: str, score: str) -> DataFrame:
     return df.groupBy(c(cluster)).agg(F.avg(c(score)).alias("mean_error"), F.count(F.lit(1)).alias("n"))
 

@@ -97,19 +97,34 @@ def profile(df: DataFrame, cls: str, limit: int = 30) -> dict[str, object]:
 
 # ---------------------------------------------------------------- duplicates and cardinality
 
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of a whole row. Each value is written with its length, so different rows differ as text.
+
+    As in grouping, nulls are equal to each other, so are NaNs, and -0.0 equals 0.0.
+    """
+    parts = []
+    for f in df.schema.fields:
+        value = c(f.name)
+        if isinstance(f.dataType, T.FractionalType) and not isinstance(f.dataType, T.DecimalType):
+            value = value + F.lit(0.0)
+        elif isinstance(f.dataType, T.BinaryType):
+            value = F.hex(value)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.to_json(F.struct(value.alias("v")))
+        text = value.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
+    return F.sha2(F.concat(*parts), 256)
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """(n_rows, n_duplicate): rows beyond the first of each group of equal rows.
 
-    Only 64-bit row hashes are shuffled at first. Whole rows are grouped only where a hash occurs more
-    than once, so hash collisions cannot change the count.
+    Rows are grouped by their digest, so 32 bytes per distinct row are shuffled and not the row, and copies
+    combine before the shuffle.
     """
-    hashed = df.withColumn("__h", F.xxhash64(*[c(n) for n in df.columns]))
-    repeated = (hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("n"))
-                .filter(c("n") > 1).select("__h"))
-    groups = (hashed.join(repeated, "__h", "left_semi")
-              .groupBy(*[c(n) for n in df.columns]).agg(F.count(F.lit(1)).alias("n")))
-    extra = groups.agg(F.coalesce(F.sum(c("n") - 1), F.lit(0))).scalar()
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_duplicate", extra.cast("bigint"))
+    groups = df.select(row_digest(df).alias("__d")).groupBy("__d").agg(F.count(F.lit(1)).alias("n"))
+    return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+                      F.coalesce(F.sum(c("n") - 1), F.lit(0)).alias("n_duplicate"))
 
 
 def column_cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:

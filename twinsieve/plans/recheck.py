@@ -99,6 +99,6 @@ def recheck(alerts: DataFrame, segments: DataFrame, score: Callable[[DataFrame],
             floor: float = RETENTION_FLOOR) -> DataFrame:
     """Whole re-check: key, semi-join, merge, score, look-up, sweep, choice, summary."""
     scores = flow_scores(segments, alerts, score, columns, training)
-    keys = matched_keys(alerts, scores)
+    keys = cut_lineage(matched_keys(alerts, scores))
     cut = choose_cut(keys, floor).select("threshold").scalar()
     return with_percentages(recheck_summary(keys, cut)).withColumn("threshold", cut)

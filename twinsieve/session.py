@@ -39,3 +39,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def shuffle_width(spark: SparkSession) -> int:
     """Parallelism the session asks for; bucket and salt counts follow it."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than the session's parallelism over all cores.
+
+    For Python-heavy scoring of a table that sits in a few files. A large table has more splits than
+    cores and comes back as it is. Give a plan without shuffles, so that counting splits runs no job.
+    """
+    width = shuffle_width(df.sparkSession)
+    return df.repartition(width) if df.rdd.getNumPartitions() < width else df

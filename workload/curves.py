@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from twinsieve.functions.columns import c
 from twinsieve.operators import curves, evaluation
-from twinsieve.operators.detectors.simple import rank_fusion
+from twinsieve.operators.detectors.simple import TwoMeansCutoff, alert_cluster, rank_fusion, two_means_split
 from twinsieve.operators.sampling import class_weights, split_stratified
 from twinsieve.plans import report
 from twinsieve.plans.screening import flagged
@@ -70,6 +70,20 @@ def rank_fusion_query(spark, sf_dir):
     return round6(fused.select("event_id", "fused"), "fused", digits=9)
 
 
+def two_means_cut(spark, sf_dir):
+    """Best two clusters on log1p(score)."""
+    return round6(two_means_split(events(spark, sf_dir), "score"), "low_centre", "high_centre", "cut")
+
+
+def two_means_alerts(spark, sf_dir):
+    """Size and mean score of both clusters, and which one alerts."""
+    rows = events(spark, sf_dir)
+    placed = TwoMeansCutoff().fit(rows).transform(rows)
+    found = placed.groupBy("alert").agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean_error"))
+    chosen = alert_cluster(placed, "alert", "score").select("alert_cluster").scalar()
+    return round6(found.withColumn("alerts", c("alert") == chosen), "mean_error")
+
+
 def joint_threshold(spark, sf_dir):
     return round6(curves.joint_threshold(events(spark, sf_dir), "y", "score", "s2"),
                   "stage1_cut", "precision", "recall", "f1")
@@ -171,7 +185,7 @@ QUERIES = {
     "pr_curve": pr_curve, "roc_curve": roc_curve, "roc_auc": roc_auc, "f1_threshold": f1_threshold,
     "recall_threshold": recall_threshold, "quantile_sweep": quantile_sweep, "class_quantile_cut": class_quantile_cut,
     "contamination_cut": contamination_cut, "robust_trim": robust_trim, "rank_fusion": rank_fusion_query,
-    "joint_threshold": joint_threshold, "detection_by_class": detection_by_class, "confusion": confusion,
+    "two_means_cut": two_means_cut, "two_means_alerts": two_means_alerts, "joint_threshold": joint_threshold, "detection_by_class": detection_by_class, "confusion": confusion,
     "metric_block": metric_block, "long_metrics": long_metrics, "cascade_union": cascade_union,
     "cascade_by_class": cascade_by_class, "combined_confusion": combined_confusion, "mcnemar_counts": mcnemar_counts,
     "mcnemar": mcnemar, "mcnemar_close": mcnemar_close, "bootstrap_cells": bootstrap_cells,
@@ -210,6 +224,12 @@ _VERDICT = """SELECT b, c, p_value, p_value < 0.05 AS significant,
   CASE WHEN p_value >= 0.05 THEN 'not significant at alpha=0.05' WHEN b > c THEN 'significant improvement'
        ELSE 'significantly worse' END AS verdict FROM t"""
 
+_TWO_MEANS = """lg AS (SELECT ln(1 + score) AS v, count(*) AS n FROM ev GROUP BY 1),
+        cs AS (SELECT v, sum(n) OVER w AS n1, sum(n * v) OVER w AS s1, sum(n) OVER () AS na, sum(n * v) OVER () AS sa
+               FROM lg WINDOW w AS (ORDER BY v)),
+        best AS (SELECT s1 / n1 AS low_centre, (sa - s1) / (na - n1) AS high_centre FROM cs WHERE n1 < na
+                 ORDER BY s1 * s1 / n1 + (sa - s1) * (sa - s1) / (na - n1) DESC LIMIT 1)"""
+
 ORACLES = {
     "pr_curve": f"{_EV}, {_curve()} SELECT threshold, tp, fp, round(precision, 6) AS precision, round(recall, 6) AS recall FROM pr",
     "roc_curve": f"""{_EV}, {_curve()}
@@ -239,6 +259,11 @@ ORACLES = {
           SELECT event_id, (rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) * 0.5e0) / count(*) OVER () AS r1,
                  (rank() OVER (ORDER BY s2) + (count(*) OVER (PARTITION BY s2) - 1) * 0.5e0) / count(*) OVER () AS r2 FROM ev)
         SELECT event_id, round((r1 + r2) / 2, 9) AS fused FROM r""",
+    "two_means_cut": f"""{_EV}, {_TWO_MEANS}
+        SELECT round(low_centre, 6) AS low_centre, round(high_centre, 6) AS high_centre, round((low_centre + high_centre) / 2, 6) AS cut FROM best""",
+    "two_means_alerts": f"""{_EV}, {_TWO_MEANS},
+        p AS (SELECT score, CASE WHEN ln(1 + score) > (low_centre + high_centre) / 2 THEN 1 ELSE 0 END AS alert FROM ev, best)
+        SELECT alert, count(*) AS n, round(avg(score), 6) AS mean_error, alert = 1 AS alerts FROM p GROUP BY alert""",
     "joint_threshold": f"""{_EV}, a AS (SELECT cut FROM {sql_quantiles('ev', 'score', _QUANTILES24)}),
         j AS (SELECT cut AS stage1_cut, t AS stage2_cut, count(*) FILTER (WHERE y = 1) AS tp, count(*) AS flagged
               FROM ev JOIN a ON score >= cut JOIN (VALUES {_GRID}) AS g(t) ON s2 >= t GROUP BY cut, t),

@@ -10,6 +10,7 @@ from twinsieve.operators import supervised
 from twinsieve.operators.curves import roc_auc
 from twinsieve.operators.detectors import autoencoder, iforest, simple
 from twinsieve.operators.sampling import split_stratified
+from twinsieve.session import spread_scan
 
 from .base import SEED, round6, table
 
@@ -59,20 +60,27 @@ def iforest_score(spark, sf_dir):
 
 def iforest_items(spark, sf_dir):
     """Isolation forest over the numeric columns of every line item."""
-    items = table(spark, sf_dir, "lineitem").select(
+    items = spread_scan(table(spark, sf_dir, "lineitem")).select(
         F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_id"),
         F.array(*[c(n).cast("double") for n in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]).alias("features"))
     model = iforest.IsolationForest(seed=SEED).fit(items)
     return model.transform(items).select("row_id", "score")
 
 
+def iforest_alerts(spark, sf_dir):
+    """Alerts of the forest at its contamination share, over all rows."""
+    whole = rows(spark, sf_dir)
+    model = iforest.IsolationForest(idCol="vec_id", seed=SEED, contamination=0.05).fit(whole)
+    return model.transform(whole).select("vec_id", "y", "score", "alert")
+
+
 def pca_score(spark, sf_dir):
     return _scored(simple.PcaDetector(k=8), spark, sf_dir)
 
 
 def kmeans_cutoff(spark, sf_dir):
     scored = pca_score(spark, sf_dir)
-    return simple.TwoMeansCutoff(seed=SEED).fit(scored).transform(scored).select("vec_id", "score", "alert")
+    return simple.TwoMeansCutoff().fit(scored).transform(scored).select("vec_id", "score", "alert")
 
 
 def kmeans_alert_cluster(spark, sf_dir):
@@ -132,7 +140,7 @@ def detector_auc(spark, sf_dir):
 
 QUERIES = {
     "ae_score": ae_score, "normalised_ae": normalised_ae, "robust_ae": robust_ae, "ae_sweep": ae_sweep,
-    "iforest_score": iforest_score, "iforest_items": iforest_items, "pca_score": pca_score,
+    "iforest_score": iforest_score, "iforest_items": iforest_items, "iforest_alerts": iforest_alerts, "pca_score": pca_score,
     "kmeans_cutoff": kmeans_cutoff, "kmeans_alert_cluster": kmeans_alert_cluster, "rf_score": rf_score,
     "gbt_score": gbt_score, "lr_score": lr_score, "cv_select": cv_select, "score_augmented": score_augmented,
     "detector_auc": detector_auc,
