@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
+from pyspark.ml.feature import Bucketizer, QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import shuffle_width
@@ -44,7 +44,8 @@ def prefix_sums(df: DataFrame, bucket: str, order: Sequence[Column], values: Seq
         *[F.sum(c(v)).over(whole).alias(f"{v}_all") for v in values])
     inside = (Window.partitionBy(*[c(k) for k in keys]).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = df.join(offsets, keys)
+    # Without a group the offsets have one row per bucket, and the bucket count is fixed.
+    out = df.join(offsets if group else F.broadcast(offsets), keys)
     return out.select(
         *[c(name) for name in df.columns],
         *[c(f"{v}_all") for v in values],
@@ -163,36 +164,36 @@ def _within(t: Mapping) -> Column:
 
 
 def _narrow(flat: DataFrame, targets: list[dict], accuracy: int) -> list[dict]:
-    """One narrowing round for all open targets: two passes over the table."""
+    """One narrowing round for all open targets: two passes over the table. Returns the targets that moved.
+
+    Targets that share a bracket share one sketch. Counts of the old bracket ends are known already, so a
+    round counts only rows below the new low end and up to the new high end.
+    """
     slack = 3.0 / accuracy
-    exprs = []
-    for i, t in enumerate(targets):
-        low = max(0.0, (t["k0"] - t["below"]) / t["inside"] - slack)
-        high = min(1.0, (t["k1"] + 1 - t["below"]) / t["inside"] + slack)
-        kept = F.when(_within(t), F.col(f"v{t['col']}"))
-        exprs.append(F.percentile_approx(kept, F.array(F.lit(low), F.lit(high)), accuracy).alias(f"q{i}"))
-    guess = flat.agg(*exprs).first()
-    counts = []
-    for i, t in enumerate(targets):
-        value = F.col(f"v{t['col']}")
-        low, high = guess[f"q{i}"]
-        counts += [F.count_if(value < F.lit(low)).alias(f"b{i}"),
-                   F.count_if((value >= F.lit(low)) & (value <= F.lit(high))).alias(f"i{i}"),
-                   F.count_if(value <= F.lit(high)).alias(f"u{i}"),
-                   F.count_if((value >= F.lit(t["lo"])) & (value <= F.lit(high))).alias(f"l{i}"),
-                   F.count_if((value >= F.lit(low)) & (value <= F.lit(t["hi"]))).alias(f"h{i}")]
-    seen = flat.agg(*counts).first()
+    brackets: dict[tuple, list[dict]] = {}
+    for t in targets:
+        brackets.setdefault((t["col"], t["lo"], t["hi"]), []).append(t)
+    sketches = []
+    for i, group in enumerate(brackets.values()):
+        probs = [p for t in group for p in (
+            max(0.0, (t["k0"] - t["below"]) / t["inside"] - slack),
+            min(1.0, (t["k1"] + 1 - t["below"]) / t["inside"] + slack))]
+        kept = F.when(_within(group[0]), F.col(f"v{group[0]['col']}"))
+        sketches.append(F.percentile_approx(kept, F.array(*[F.lit(p) for p in probs]), accuracy).alias(f"q{i}"))
+    guess = flat.agg(*sketches).first()
+    ends = [(t, *guess[f"q{i}"][2 * k:2 * k + 2])
+            for i, group in enumerate(brackets.values()) for k, t in enumerate(group)]
+    seen = flat.agg(*[e for i, (t, low, high) in enumerate(ends) for e in (
+        F.count_if(F.col(f"v{t['col']}") < F.lit(low)).alias(f"b{i}"),
+        F.count_if(F.col(f"v{t['col']}") <= F.lit(high)).alias(f"u{i}"))]).first()
     moved = []
-    for i, t in enumerate(targets):
-        low, high = guess[f"q{i}"]
-        low_ok, high_ok = seen[f"b{i}"] <= t["k0"], seen[f"u{i}"] > t["k1"]
-        before = (t["lo"], t["hi"])
-        if low_ok and high_ok:
-            t.update(lo=low, hi=high, below=seen[f"b{i}"], inside=seen[f"i{i}"])
-        elif low_ok:
-            t.update(lo=low, below=seen[f"b{i}"], inside=seen[f"h{i}"])
-        elif high_ok:
-            t.update(hi=high, inside=seen[f"l{i}"])
+    for i, (t, low, high) in enumerate(ends):
+        before, upto = (t["lo"], t["hi"]), t["below"] + t["inside"]
+        if seen[f"b{i}"] <= t["k0"]:
+            t.update(lo=low, below=seen[f"b{i}"])
+        if seen[f"u{i}"] > t["k1"]:
+            t["hi"], upto = high, seen[f"u{i}"]
+        t["inside"] = upto - t["below"]
         if (t["lo"], t["hi"]) != before:
             moved.append(t)
     return moved
@@ -201,7 +202,8 @@ def _narrow(flat: DataFrame, targets: list[dict], accuracy: int) -> list[dict]:
 def _pick(flat: DataFrame, targets: list[dict]) -> dict[int, tuple[float, float]]:
     """Values at the two wanted ranks of each target, from run lengths of the values in its bracket.
 
-    Targets that share a bracket share one set of runs.
+    Rows outside every bracket are dropped by a binary search per column; what is left collapses to run
+    lengths before it is matched with the single brackets.
     """
     brackets: dict[tuple, set[int]] = {}
     for t in targets:
@@ -210,13 +212,12 @@ def _pick(flat: DataFrame, targets: list[dict]) -> dict[int, tuple[float, float]
     if not brackets:
         return {}
     keys = list(brackets)
-    entries = F.array(*[
-        F.when(_within({"col": k[0], "lo": k[1], "hi": k[2]}),
-               F.struct(F.lit(i).alias("t"), F.col(f"v{k[0]}").alias("v"))) for i, k in enumerate(keys)])
-    runs = (flat.select(F.inline(F.filter(entries, lambda e: e.isNotNull())))
-            .groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")))
+    runs = _runs_inside(flat, [k[:3] for k in keys])
+    entries = F.array(*[F.when((c("col") == k[0]) & c("v").between(F.lit(k[1]), F.lit(k[2])), F.lit(i))
+                        for i, k in enumerate(keys)])
+    tagged = runs.select("v", "n", F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("t"))
     order = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = runs.withColumn("upto", F.sum("n").over(order))
+    placed = tagged.withColumn("upto", F.sum("n").over(order))
     ranks = F.array(*[F.array(*[F.lit(r).cast("bigint") for r in sorted(brackets[k])]) for k in keys])
     here = F.filter(F.element_at(ranks, F.col("t") + 1),
                     lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
@@ -228,3 +229,25 @@ def _pick(flat: DataFrame, targets: list[dict]) -> dict[int, tuple[float, float]
         return values[k, t["k0"] - t["below"]], values[k, t["k1"] - t["below"]]
 
     return {id(t): both(t) for t in targets}
+
+
+def _runs_inside(flat: DataFrame, brackets: Sequence[tuple[int, float, float]]) -> DataFrame:
+    """(col, v, n): how often each value that lies in a bracket of its column occurs."""
+    marked, hits = flat, []
+    for col in sorted({b[0] for b in brackets}):
+        merged: list[list[float]] = []
+        for low, high in sorted(b[1:] for b in brackets if b[0] == col):
+            end = math.nextafter(high, math.inf)
+            if merged and low <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], end)
+            else:
+                merged.append([low, end])
+        splits = [-math.inf, *(x for pair in merged for x in pair), math.inf]
+        marked = Bucketizer(splits=splits, inputCol=f"v{col}", outputCol=f"b{col}",
+                            handleInvalid="keep").transform(marked)
+        # Odd buckets are brackets; the bucket after the last holds nulls.
+        inside = (F.col(f"b{col}") % 2 == 1) & (F.col(f"b{col}") < 2 * len(merged))
+        hits.append(F.when(inside, F.struct(F.lit(col).alias("col"), F.col(f"v{col}").alias("v"))))
+    found = marked.select(hits[0].alias("h")).filter(F.col("h").isNotNull()).select("h.*") if len(hits) == 1 \
+        else marked.select(F.inline(F.filter(F.array(*hits), lambda h: h.isNotNull())))
+    return found.groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"))

@@ -167,9 +167,9 @@ ORACLES = {
         SELECT o_orderkey, round(coalesce(price, (SELECT median(price) FROM g)), 6) AS price,
                round(coalesce(cust, (SELECT median(cust) FROM g)), 6) AS cust FROM g""",
     "presence_flags": f"""WITH {DOCS_SQL}
-        SELECT doc_id, (quality IS NOT NULL)::INT AS has_quality, (source IS NOT NULL)::INT AS has_source FROM dl""",
+        SELECT doc_id, (quality IS NOT NULL)::TINYINT AS has_quality, (source IS NOT NULL)::TINYINT AS has_source FROM dl""",
     "onehot_lowcard": "SELECT c_custkey, " + ", ".join(
-        f"""coalesce(c_mktsegment = '{v}', false)::INT AS "c_mktsegment={v}\"""" for v in _SEGMENTS) + " FROM customer",
+        f"""coalesce(c_mktsegment = '{v}', false)::TINYINT AS "c_mktsegment={v}\"""" for v in _SEGMENTS) + " FROM customer",
     "onehot_values": " UNION ALL ".join(
         f"SELECT '{n}' AS column_name, count(DISTINCT {n}) AS n_distinct, string_agg(DISTINCT {n}, '|' ORDER BY {n}) AS listed FROM orders"
         for n in ("o_orderpriority", "o_orderstatus")),

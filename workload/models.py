@@ -9,7 +9,11 @@ from twinsieve.functions.columns import c
 from twinsieve.operators import supervised
 from twinsieve.operators.curves import roc_auc
 from twinsieve.operators.detectors import autoencoder, iforest, simple
+from twinsieve.operators.features import RowPreprocessor
+from twinsieve.operators.matching import with_endpoint_key
 from twinsieve.operators.sampling import split_stratified
+from twinsieve.operators.segments import merge_segments
+from twinsieve.plans import recheck, screening
 from twinsieve.session import spread_scan
 
 from .base import SEED, round6, table
@@ -138,12 +142,48 @@ def detector_auc(spark, sf_dir):
     return round6(roc_auc(long, "y", "score", ["system"]), "auc")
 
 
+def screening_job(spark, sf_dir):
+    """Stage 1 with its own detector over every line item: prepare, split, fit, cut, alerts of the test rows."""
+    items = spread_scan(table(spark, sf_dir, "lineitem")).select(
+        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_id"),
+        c("l_suppkey").cast("string").alias("src_ip"), F.when(c("l_returnflag") == "R", "XSS").otherwise("Benign").alias("attack_type"),
+        "l_quantity", "l_extendedprice", "l_discount", c("l_tax").alias("tax_var"), c("l_linestatus").alias("highest_layer"))
+    run = screening.screen(items, "row_id", "attack_type", simple.PcaDetector(k=3), RowPreprocessor())
+    return run.alerts().select("row_id", "attack_type", "src_ip", "score")
+
+
+def recheck_job(spark, sf_dir):
+    """Stage 2 with its own model: train on some connections, re-check alerts on the others, summarise."""
+    measures = ["total_qty", "price", "tax_max"]
+    segments = spread_scan(table(spark, sf_dir, "lineitem")).select(
+        F.concat_ws("-", "l_suppkey", "l_linenumber", "l_returnflag").alias("Flow ID"),
+        c("l_suppkey").cast("string").alias("Src IP"), F.lit(80).alias("Src Port"),
+        c("l_linenumber").cast("string").alias("Dst IP"), F.lit(443).alias("Dst Port"), c("l_shipdate").alias("Timestamp"),
+        c("l_quantity").alias("total_qty"), c("l_extendedprice").alias("price"), c("l_tax").alias("tax_max"),
+        c("l_discount").alias("discount"))
+    training = merge_segments(segments.filter(c("Flow ID").endswith("A")), ["Flow ID"]).withColumn(
+        "y", (c("discount") > 0.05).cast("int"))
+    prepared = RowPreprocessor.for_flows(keepCols=["Flow ID", "y"], identity=[]).fit(training.select("Flow ID", "y", *measures))
+    rescorer = supervised.train_rescorer(prepared.transform(training), ["Flow ID"], kinds=["linear"], seed=SEED)
+
+    def score(merged):
+        kept = prepared.copy()._set(keepCols=[n for n in merged.columns if n not in measures])
+        return rescorer.score(kept.transform(merged))
+
+    flagged = with_endpoint_key(
+        table(spark, sf_dir, "lineitem").filter(c("l_quantity") >= 45).select(
+            c("l_linenumber").cast("string").alias("src_ip"), c("l_suppkey").cast("string").alias("dst_ip"),
+            F.lit(443).alias("src_port"), F.lit(80).alias("dst_port"), (c("l_discount") > 0.05).cast("int").alias("y")),
+        "src_ip", "dst_ip", "src_port", "dst_port")
+    return recheck.recheck(flagged, segments, score, training=training)
+
+
 QUERIES = {
     "ae_score": ae_score, "normalised_ae": normalised_ae, "robust_ae": robust_ae, "ae_sweep": ae_sweep,
     "iforest_score": iforest_score, "iforest_items": iforest_items, "iforest_alerts": iforest_alerts, "pca_score": pca_score,
     "kmeans_cutoff": kmeans_cutoff, "kmeans_alert_cluster": kmeans_alert_cluster, "rf_score": rf_score,
     "gbt_score": gbt_score, "lr_score": lr_score, "cv_select": cv_select, "score_augmented": score_augmented,
-    "detector_auc": detector_auc,
+    "detector_auc": detector_auc, "screening_job": screening_job, "recheck_job": recheck_job,
 }
 
 ORACLES: dict[str, str] = {}

@@ -11,7 +11,7 @@ from twinsieve.sources import tables
 from .base import DOCS_SQL, EVENTS_SQL, SEED, documents_with_labels, events, round6, sql_draw, sql_uniform, table
 
 KEY = ["event_id"]
-QUOTAS = {"click": 200, "view": 200, "purchase": 200, "signup": 200, "error": 500}
+QUOTAS = {"click": 100, "view": 100, "purchase": 100, "signup": 100, "error": 150}
 TAKE_ALL = {**QUOTAS, "error": 5_000}
 LANGS = ["de", "es", "fr"]
 LIMITS = quality.GateLimits(benign_quota=600, benign_slack=50, attack_rows=(300, 500), attack_share_pct=(30.0, 45.0),
@@ -202,7 +202,7 @@ ORACLES = {
     "sample_quota": _quota_sql(QUOTAS),
     "sample_stratified": _quota_sql(TAKE_ALL),
     "class_quota": """
-        SELECT event_type, 2100 AS wanted, count(*) AS available, greatest(2100 - count(*), 0) AS deficit
+        SELECT event_type, 2100::BIGINT AS wanted, count(*) AS available, greatest(2100 - count(*), 0) AS deficit
         FROM events GROUP BY event_type""",
     "shuffle_order": f"{_EV} SELECT event_id, row_number() OVER (ORDER BY {_DRAW}, event_id) AS position FROM ev",
     "split_stratified": f"""
@@ -213,7 +213,7 @@ ORACLES = {
     "split_bernoulli": f"""{_EV}
         SELECT event_id, CASE WHEN {_U} < 0.3e0 THEN 'test' WHEN {_U} < {0.3 + (1.0 - 0.3) * 0.2!r}e0 THEN 'val' ELSE 'train' END AS split FROM ev""",
     "kfold_assign": f"""{_EV}
-        SELECT event_id, y, ntile(5) OVER (PARTITION BY y ORDER BY {_DRAW}, event_id) - 1 AS fold FROM ev""",
+        SELECT event_id, y, (ntile(5) OVER (PARTITION BY y ORDER BY {_DRAW}, event_id) - 1)::INTEGER AS fold FROM ev""",
     "occurrence_numbers": """
         SELECT l_returnflag, l_linestatus, l_linenumber,
                row_number() OVER (PARTITION BY l_returnflag, l_linestatus, l_linenumber) AS occurrence FROM lineitem""",
