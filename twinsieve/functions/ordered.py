@@ -122,7 +122,7 @@ def draw_struct(key: Sequence[str], draw: Column | None = None) -> Column:
 # ---------------------------------------------------------------- exact quantiles
 
 def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float],
-                    max_kept: int = 100_000, accuracy: int = 2000) -> dict[str, list[float | None]]:
+                    max_kept: int = 100_000, accuracy: int = 10_000) -> dict[str, list[float | None]]:
     """Exact linear-interpolation quantiles of many columns, with bounded memory in every task.
 
     The built-in exact percentile keeps every distinct value of a column in one buffer. Here each wanted

@@ -228,6 +228,7 @@ def feature_names(df: DataFrame, features: str) -> list[str]:
 
 
 def unaligned_rows(left: DataFrame, right: DataFrame, row_id: str) -> DataFrame:
-    """Rows of one table without a partner in the other, by row id."""
-    ids = [d.select(c(row_id)) for d in (left, right)]
-    return ids[0].join(ids[1], row_id, "left_anti").unionByName(ids[1].join(ids[0], row_id, "left_anti"))
+    """Rows of one table without a partner in the other, by row id; one join sees both directions."""
+    sides = [d.select(c(row_id), F.lit(True).alias(f"__in{i}")) for i, d in enumerate((left, right))]
+    both = sides[0].join(sides[1], row_id, "full_outer")
+    return both.filter(c("__in0").isNull() | c("__in1").isNull()).select(c(row_id))
