@@ -68,7 +68,10 @@ def with_value_bucket(df: DataFrame, value: str, buckets: int | None = None,
 # ---------------------------------------------------------------- hash order
 
 def with_draw(df: DataFrame, key: Sequence[str], seed: int) -> DataFrame:
-    """Add ``__draw`` (md5 text) and its order bucket."""
+    """Add ``__draw`` (md5 text) and its order bucket.
+
+    ``key`` must tell the rows apart; give tables without a key one by ``with_occurrence`` first.
+    """
     drawn = df.withColumn("__draw", draw_text([c(k) for k in key], seed))
     count = bucket_total(df)
     return drawn.withColumn(_BUCKET, F.floor(uniform_of(c("__draw")) * F.lit(float(count))).cast("int"))

@@ -38,7 +38,8 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, salt_on:
         return left.join(right, key, how)
     salts = min(1024, max(2, shuffle_width(left.sparkSession)))
     is_hot = c(key).isin(keys) if keys else F.lit(False)
-    spread = F.pmod(F.xxhash64(*[c(s) for s in salt_on]), F.lit(salts)).cast("int")
+    # The input split is part of the salt, so copies of one row spread too; a retried task salts alike.
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[c(s) for s in salt_on]), F.lit(salts)).cast("int")
     salted = left.withColumn("__salt", F.when(is_hot | c(key).isNull(), spread).otherwise(F.lit(0)))
     copies = right.withColumn(
         "__salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))

@@ -21,7 +21,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
-from ...functions.columns import c, draw_text, uniform_of
+from ...functions.columns import c, draw_text
 from ...functions.ordered import exact_quantiles
 from ...session import shuffle_width
 from ..curves import roc_auc

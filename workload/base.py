@@ -105,7 +105,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(odd, second).otherwise(first)
 
     return items.select(
-        *ITEM_KEY, (c("l_discount") >= 0.1).cast("int").alias("y"),
+        *ITEM_KEY, "l_quantity", "l_tax", (c("l_discount") >= 0.1).cast("int").alias("y"),
         side(supplier, line).alias("src_ip"), side(line, supplier).alias("dst_ip"),
         side(port, F.lit(443)).alias("src_port"), side(F.lit(443), port).alias("dst_port"))
 
@@ -137,7 +137,7 @@ def _sql_key(a: str, b: str) -> str:
 _SUPPLIER, _LINE = "'s' || l_suppkey || ':' || (l_suppkey + 1000)", "'n' || l_linenumber || ':443'"
 
 ALERTS_SQL = f"""al AS (
-  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_discount >= 0.1 THEN 1 ELSE 0 END AS y,
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_tax, CASE WHEN l_discount >= 0.1 THEN 1 ELSE 0 END AS y,
          {_sql_key(_SUPPLIER, _LINE)} AS key
   FROM lineitem WHERE l_quantity >= 45)"""
 

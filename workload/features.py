@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from twinsieve.functions.columns import (c, clean_number, finite_or_null, is_attack, mean_squared_difference, to_number)
+from twinsieve.functions.columns import c, is_attack, mean_squared_difference, to_number
 from twinsieve.functions.ordered import exact_quantiles
 from twinsieve.operators import features, quality
 
-from .base import DOCS_SQL, documents_with_labels, events, round6, sql_quantiles, table
+from .base import DOCS_SQL, documents_with_labels, round6, sql_quantiles, table
 
 
 def bookkeeping(spark, sf_dir):

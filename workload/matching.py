@@ -51,8 +51,10 @@ def endpoint_key_query(spark, sf_dir):
 
 
 def few_alerts(spark, sf_dir):
-    return with_endpoint_key(alerts(spark, sf_dir).filter((c("y") == 1) & (c("l_orderkey") % 9 == 0)),
-                             "src_ip", "dst_ip", "src_port", "dst_port").select(*ITEM_KEY, "y", "key")
+    """Attack alerts of the largest quantity and tax: rare enough that the semi-join has work to do."""
+    rare = (c("y") == 1) & (c("l_quantity") == 50) & (c("l_tax") >= 0.08)
+    return with_endpoint_key(alerts(spark, sf_dir).filter(rare), "src_ip", "dst_ip", "src_port", "dst_port").select(
+        *ITEM_KEY, "y", "key")
 
 
 def flows_for_alerts_query(spark, sf_dir):
@@ -75,9 +77,10 @@ def unmatched_alerts(spark, sf_dir):
 
 
 def holdout_flows(spark, sf_dir):
-    seen = table(spark, sf_dir, "lineitem").filter((c("l_returnflag") == "A") & (c("l_suppkey") % 4 == 0)).select(
-        F.concat(F.lit("s"), c("l_suppkey"), F.lit("-n"), c("l_linenumber")).alias("Flow ID"))
-    fresh = without_training_flows(segments(spark, sf_dir), seen, "Flow ID")
+    """Segments of the connections left after those the model trained on (returned items) are taken out."""
+    seen = table(spark, sf_dir, "lineitem").filter(c("l_returnflag") == "R").select(
+        F.concat(F.lit("s"), c("l_suppkey"), F.lit("-n"), c("l_linenumber"), F.lit("-"), c("l_returnflag")).alias("Flow ID"))
+    fresh = without_training_flows(segments(spark, sf_dir, True), seen, "Flow ID")
     return fresh.groupBy(c("Flow ID").alias("flow_id")).agg(F.count(F.lit(1)).alias("n_segments"))
 
 
@@ -169,7 +172,7 @@ ORACLES = {
     "flows_for_alerts": f"""
         WITH {ALERTS_SQL}, {segments_sql()}
         SELECT flow_id, key, l_orderkey, l_partkey, l_extendedprice AS price FROM sg
-        WHERE EXISTS (SELECT 1 FROM al WHERE al.key = sg.key AND al.y = 1 AND al.l_orderkey % 9 = 0)""",
+        WHERE EXISTS (SELECT 1 FROM al WHERE al.key = sg.key AND al.y = 1 AND al.l_quantity = 50 AND al.l_tax >= 0.08)""",
     "score_lookup": f"""
         {_FLAGGED_MANY}
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, key, round(proba, 6) AS proba
@@ -183,10 +186,10 @@ ORACLES = {
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, key, y FROM al
         WHERE NOT EXISTS (SELECT 1 FROM sc WHERE sc.key = al.key)""",
     "holdout_flows": f"""
-        WITH {ALERTS_SQL}, {segments_sql()}
+        WITH {ALERTS_SQL}, {segments_sql(True)}
         SELECT flow_id, count(*) AS n_segments FROM sg
-        WHERE flow_id NOT IN (SELECT 's' || l_suppkey || '-n' || l_linenumber FROM lineitem
-                              WHERE l_returnflag = 'A' AND l_suppkey % 4 = 0)
+        WHERE flow_id NOT IN (SELECT 's' || l_suppkey || '-n' || l_linenumber || '-' || l_returnflag FROM lineitem
+                              WHERE l_returnflag = 'R')
         GROUP BY flow_id""",
     "recheck_sweep": f"{_FLAGGED_MANY}, {_SWEEP} SELECT * FROM pc",
     "operating_point": f"{_FLAGGED_MANY}, {_SWEEP} SELECT * FROM op",
