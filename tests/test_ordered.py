@@ -41,6 +41,30 @@ def test_draw_rank_is_a_permutation_for_any_partitioning(spark):
     assert sorted(v for k, v in one.items() if k % 50) == list(range(1, 4901))
 
 
+@pytest.mark.parametrize("broadcast_limit", ["-1", "10485760"])
+def test_rows_without_a_group_are_ranked_too(spark, broadcast_limit):
+    df = spark.range(60).withColumn("g", F.when(c("id") % 3 > 0, c("id") % 3))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast_limit)
+    try:
+        ranks = [(r["g"], r["draw_rank"]) for r in draw_rank(df, ["id"], 1, ["g"]).collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(ranks, key=str) == sorted(((g, i) for g in (None, 1, 2) for i in range(1, 21)), key=str)
+
+
+def test_copies_of_one_row_spread(spark):
+    left = spark.range(0, 4000, 1, 16).select(F.lit("hot").alias("k"), F.lit(1).alias("x"))
+    right = spark.createDataFrame([("hot", 2)], "k string, s int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        shares = salted_join(left, right, "k", "inner", ["x"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in shares) == 4000 and max(r["count"] for r in shares) <= 2500
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, how):
     left = spark.range(6000).select("id", F.when(c("id") % 3 == 0, "hot").when(c("id") % 7 == 0, None)

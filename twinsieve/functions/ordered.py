@@ -33,11 +33,14 @@ def prefix_sums(df: DataFrame, bucket: str, order: Sequence[Column], values: Seq
     row of a higher one. The per-bucket table has at most one row per group and bucket. It is joined on
     the columns the inner window partitions by, so the rows are shuffled once.
     """
-    keys = [*group, bucket]
+    # Groups travel as one struct: a null group is a group like any other, also in the join.
+    tagged = df.withColumn("__group", F.struct(*[c(g) for g in group])) if group else df
+    outer = ["__group"] if group else []
+    keys = [*outer, bucket]
     direction = c(bucket).desc() if descending else c(bucket).asc()
-    whole = Window.partitionBy(*[c(g) for g in group])
+    whole = Window.partitionBy(*outer)
     before = whole.orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
-    sums = df.groupBy(*[c(k) for k in keys]).agg(*[F.sum(c(v)).alias(v) for v in values])
+    sums = tagged.groupBy(*[c(k) for k in keys]).agg(*[F.sum(c(v)).alias(v) for v in values])
     offsets = sums.select(
         *[c(k) for k in keys],
         *[F.coalesce(F.sum(c(v)).over(before), F.lit(0)).alias(f"__{v}_before") for v in values],
@@ -45,7 +48,7 @@ def prefix_sums(df: DataFrame, bucket: str, order: Sequence[Column], values: Seq
     inside = (Window.partitionBy(*[c(k) for k in keys]).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # Without a group the offsets have one row per bucket, and the bucket count is fixed.
-    out = df.join(offsets if group else F.broadcast(offsets), keys)
+    out = tagged.join(offsets if group else F.broadcast(offsets), keys)
     return out.select(
         *[c(name) for name in df.columns],
         *[c(f"{v}_all") for v in values],

@@ -72,7 +72,7 @@ def quota_table(df: DataFrame, cls: str, quotas: Mapping[str, int]) -> DataFrame
     counted = df.groupBy(c(cls)).agg(F.count(F.lit(1)).alias("available"))
     wanted = F.coalesce(asked[c(cls)], F.lit(0)).cast("bigint")
     present = counted.select(c(cls), wanted.alias("wanted"), "available")
-    missing = df.sparkSession.createDataFrame([(k, int(v)) for k, v in quotas.items()], f"cls string, n bigint") \
+    missing = df.sparkSession.createDataFrame([(k, int(v)) for k, v in quotas.items()], "cls string, n bigint") \
         .join(present.select(c(cls).alias("cls")), "cls", "left_anti") \
         .select(c("cls").alias(cls), c("n").alias("wanted"), F.lit(0).cast("bigint").alias("available"))
     return present.unionByName(missing).withColumn(
@@ -122,7 +122,7 @@ def split_stratified(df: DataFrame, key: Sequence[str], cls: str, test: float =
     """Label rows train / val / test with exact shares per class.
 
     ``test`` of the class, then ``validation`` of what is left. Each row is compared with two hash cuts
-    of its class, so nothing but the cuts is shuffled.
+    of its class, so nothing but the cuts is shuffled. Rows without a class stay in ``train``.
     """
     chosen = resolve_seed(seed)
     tests = F.round(c("group_size") * F.lit(test)).cast("bigint")
@@ -140,7 +140,10 @@ def split_bernoulli(df: DataFrame, key: Sequence[str], test: float = 0.30, valid
 
 def kfold_assign(df: DataFrame, key: Sequence[str], cls: str, folds: int = 5, seed: int | None = SEED,
                  out: str = "fold") -> DataFrame:
-    """Stratified fold number 0..folds-1; fold sizes within a class differ by at most one."""
+    """Stratified fold number 0..folds-1; fold sizes within a class differ by at most one.
+
+    Rows without a class fall into the last fold.
+    """
     size, extra = F.floor(c("group_size") / folds), c("group_size") % folds
     ends = {str(i): size * (i + 1) + F.least(extra, F.lit(i + 1)) for i in range(folds - 1)}
     cut = _by_cuts(df, key, cls, resolve_seed(seed), ends, str(folds - 1), out)
