@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, token_blocks
+from . import extendible, pieces, token_blocks, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(table(spark, sf_dir, "pages"))
+
+
+def op5_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (extendible.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+            .select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs", "fits"))
+
+
 def op7_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -28,5 +37,5 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_token_blocks, op8_sentencepiece)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_url_templates, op5_extendible_shards, op7_token_blocks, op8_sentencepiece)}
+ORACLES: dict[str, str] = {"op3_url_templates": url_templates.PAGES_SQL, "op5_extendible_shards": extendible.SHARDS_SQL}
