@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import extendible, pieces, token_blocks, url_templates
+from . import cover_tree, extendible, pieces, token_blocks, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,5 +37,11 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_url_templates, op5_extendible_shards, op7_token_blocks, op8_sentencepiece)}
-ORACLES: dict[str, str] = {"op3_url_templates": url_templates.PAGES_SQL, "op5_extendible_shards": extendible.SHARDS_SQL}
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_url_templates, op5_extendible_shards, op7_token_blocks, op8_sentencepiece,
+                                                   op9_cover_tree)}
+ORACLES: dict[str, str] = {"op3_url_templates": url_templates.PAGES_SQL, "op5_extendible_shards": extendible.SHARDS_SQL,
+                           "op9_cover_tree": cover_tree.VECTORS_SQL}
