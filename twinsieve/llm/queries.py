@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cover_tree, decontamination, extendible, pieces, token_blocks, toxicity, url_templates
+from . import cover_tree, decontamination, extendible, kneser_ney, pieces, token_blocks, toxicity, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,11 @@ def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return kneser_ney.score(docs, kneser_ney.train(docs))
+
+
 def op5_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (extendible.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
             .select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs", "fits"))
@@ -50,7 +55,7 @@ def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_greedy_tiling, op2_noisy_channel, op3_url_templates, op5_extendible_shards, op7_token_blocks, op8_sentencepiece,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_greedy_tiling, op2_noisy_channel, op3_url_templates, op4_kneser_ney, op5_extendible_shards, op7_token_blocks, op8_sentencepiece,
                                                    op9_cover_tree)}
 ORACLES: dict[str, str] = {"op3_url_templates": url_templates.PAGES_SQL, "op5_extendible_shards": extendible.SHARDS_SQL,
                            "op9_cover_tree": cover_tree.VECTORS_SQL}
