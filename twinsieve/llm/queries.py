@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cover_tree, decontamination, extendible, kneser_ney, pieces, token_blocks, toxicity, url_templates
+from . import cover_tree, decontamination, extendible, kneser_ney, ngram_join, pieces, token_blocks, toxicity, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op5_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs", "fits"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -55,7 +59,7 @@ def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_greedy_tiling, op2_noisy_channel, op3_url_templates, op4_kneser_ney, op5_extendible_shards, op7_token_blocks, op8_sentencepiece,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_greedy_tiling, op2_noisy_channel, op3_url_templates, op4_kneser_ney, op5_extendible_shards, op6_ngram_jaccard, op7_token_blocks, op8_sentencepiece,
                                                    op9_cover_tree)}
 ORACLES: dict[str, str] = {"op3_url_templates": url_templates.PAGES_SQL, "op5_extendible_shards": extendible.SHARDS_SQL,
                            "op9_cover_tree": cover_tree.VECTORS_SQL}
