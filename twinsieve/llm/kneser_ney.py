@@ -29,7 +29,7 @@ from .words import Text, chunks, hash_spans, mix
 
 FOLD_TOKENS = 3_000_000     # pairs folded at once in a task
 LEAST_SHARDS = 128
-SHARD_BYTES = 256 << 20     # text behind one shard
+SHARD_BYTES = 64 << 20      # text behind one shard
 START = np.uint64(0x5354415254)
 END = np.uint64(0x454E44)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
