@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20       # text handled at once; a longer document is a chunk of its own
+CHUNK_BYTES = 1 << 20       # text handled at once; a longer document is a chunk of its own
 LONG_WORD = 512             # longer words are digested one by one
 
 _SPACE = np.zeros(256, bool)
