@@ -159,7 +159,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = near.groupBy("term", "entity").agg(F.count("*").alias("together"))
     per_entity = near.groupBy("entity").agg(F.count("*").alias("around"))
     counts = chosen.select(F.explode(F.split(F.lower("text"), r"\P{L}+")).alias("term")).filter(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("total"))
-    counts = stored(counts.join(pairs.filter(F.col("together") >= SUPPORT).select("term").distinct(), "term", "left_semi"), "personal-terms")
+    # An inner join stays above the aggregate; a semi join would move below it and see every occurrence.
+    counts = stored(counts.join(pairs.filter(F.col("together") >= SUPPORT).select("term").distinct(), "term"), "personal-terms")
     everything = chosen.agg(F.sum(F.length("text"))).first()[0] or 0
     rated = pairs.filter(F.col("together") >= SUPPORT).join(counts, "term").join(per_entity, "entity").select(
         "term", "entity", (F.col("together") / F.col("total")).alias("share"),
