@@ -310,7 +310,7 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, _ = load(model_path)
         for batch in map(_plain_blanks, batches):
-            for rows, text in chunks(batch, "text"):
+            for rows, text in chunks(batch, "text", 4 << 20):
                 ids, sizes = encode_text(text.data, text.offsets, model_path)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()),
                                                  pa.array(ids, pa.int32()))
@@ -326,7 +326,7 @@ def piece_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, _ = load(model_path)
         for batch in map(_plain_blanks, batches):
-            for rows, text in chunks(batch, "text"):
+            for rows, text in chunks(batch, "text", 4 << 20):
                 ids, sizes = encode_text(text.data, text.offsets, model_path)
                 raw, ends = ids.astype("<u4").tobytes(), np.cumsum(sizes)
                 of_ids = [hashlib.sha256(raw[4 * (e - n):4 * e]).hexdigest() for e, n in zip(ends.tolist(), sizes.tolist())]

@@ -45,6 +45,8 @@ _NONE = np.uint32(0xFFFFFFFF)
 _WORD = np.uint64(32)
 _LOW32 = np.uint64(0xFFFFFFFF)
 _TOP = np.uint64(1 << 32)
+_PAIR = np.uint64(17)
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Model:
@@ -81,8 +83,8 @@ class _Model:
 
     @staticmethod
     def slot(before: np.ndarray, last: np.ndarray) -> np.ndarray:
-        key = (before.astype(np.uint64) << np.uint64(17)) + last.astype(np.uint64)
-        return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        key = (before.astype(np.uint64) << _PAIR) + last.astype(np.uint64)
+        return (key * _GOLDEN >> np.uint64(64 - _SLOTS)).astype(np.int64)
 
     def predict(self, before: np.ndarray, last: np.ndarray):
         """(order-2 id, order-1 id, confidence class, order-2 slot)."""
@@ -187,22 +189,36 @@ def decode_ids(payload: bytes, n: int, symbols: int) -> np.ndarray:
         code = words[read] << _WORD | words[np.where(read + 1 < stop, read + 1, nothing)]
         read = read + 2
         low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-        last, before = np.full(lanes, _SYMBOLS), np.full(lanes, _SYMBOLS)
+        last = np.full(lanes, _SYMBOLS, np.uint64)
+        before = last << _PAIR
+        two_table = model.after_two.astype(np.uint64) << _WORD | model.trust_two * np.uint64(4)
+        one_table = model.after_one.astype(np.uint64) << _WORD | model.trust_one
+        order0 = model.cum << _WORD | model.freq
+        both_weights = model.two_weight + model.one_weight
         kept = []
         for step in range(int(lengths.max())):
             live = lanes if step < lengths[-1] else int(np.searchsorted(-lengths, -step))
-            two, one, kind, slot = model.predict(before[:live], last[:live])
-            w2, w1, unit = model.two_weight[kind], model.one_weight[kind], model.step[kind]
+            after = last[:live]
+            slot = ((before[:live] + after) * _GOLDEN >> np.uint64(64 - _SLOTS)).view(np.int64)
+            two, one = two_table[slot], one_table[after.view(np.int64)]
+            kind = (two & _LOW32) + (one & _LOW32)
+            two, one = two >> _WORD, one >> _WORD
+            kind += (two == one) * np.uint64(16)
+            kind = kind.view(np.int64)
+            w2, both, unit = model.two_weight[kind], both_weights[kind], model.step[kind]
             share = span[:live] >> np.uint64(_SCALE)
-            value = np.minimum((code[:live] - low[:live]) // share, np.uint64((1 << _SCALE) - 1))
-            both = w2 + w1
+            value = (code[:live] - low[:live]) // share
+            np.minimum(value, np.uint64((1 << _SCALE) - 1), out=value)
             plain = value >= both
-            place = np.where(plain, (value - both) // unit, 0).astype(np.int64)
-            third = model.by_part[place]
+            part_of = (value - both) // unit
+            part_of[~plain] = 0
+            third = model.by_part[part_of.view(np.int64)]
+            entry = order0[third]
             is_two = value < w2
-            got = np.where(is_two, two, np.where(plain, third, one)).astype(np.int64)
-            lo_part = np.where(is_two, 0, np.where(plain, both + model.cum[third] * unit, w2)).astype(np.uint64)
-            width = np.where(is_two, w2, np.where(plain, model.freq[third] * unit, w1))
+            got = np.where(is_two, two, np.where(plain, third, one))
+            lo_part = np.where(plain, both + (entry >> _WORD) * unit, w2)
+            lo_part[is_two] = 0
+            width = np.where(plain, (entry & _LOW32) * unit, np.where(is_two, w2, both - w2))
             lo, sp, cd = low[:live] + lo_part * share, width * share, code[:live]
             out = np.flatnonzero(sp < _TOP)
             if len(out):
@@ -215,7 +231,7 @@ def decode_ids(payload: bytes, n: int, symbols: int) -> np.ndarray:
             low[:live], span[:live] = lo, sp
             part[begins[:live] + step] = got
             kept.append((live, two, one, kind, slot))
-            before[:live] = last[:live]
+            before[:live] = after << _PAIR
             last[:live] = got
         _relearn(model, part, lengths, begins, kept)
     return ids.astype(np.uint32)
@@ -288,6 +304,44 @@ def unit_cuts(data: bytes, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cuts)
 
 
+JOINED_UNITS = 256
+
+
+def _encode_joined(tokenizer, width: np.ndarray, units: list[bytes]) -> list:
+    """Ids of each unit. Units that certainly start a new piece after each other are encoded as one text and told apart by bytes."""
+    out: list = [None] * len(units)
+    sizes = np.fromiter(map(len, units), np.int64, len(units))
+    # A group keeps only units whose start is a certain cut where they stand; the rest goes alone.
+    alone = []
+    groups, texts = [], []
+    for low in range(0, len(units), JOINED_UNITS):
+        part = range(low, min(len(units), low + JOINED_UNITS))
+        joined = b"".join(units[i] for i in part)
+        starts = np.cumsum(sizes[part.start:part.stop]) - sizes[part.start:part.stop]
+        sure = np.isin(starts, unit_cuts(joined, np.array([0, len(joined)])))
+        sure &= np.append(sure[1:], True)
+        kept = [i for i, ok in zip(part, sure.tolist()) if ok]
+        alone += [i for i, ok in zip(part, sure.tolist()) if not ok]
+        if kept:
+            text = b"".join(units[i] for i in kept)
+            # Leaving units out makes new neighbours, so look again.
+            starts = np.cumsum(sizes[kept]) - sizes[kept]
+            if np.isin(starts, unit_cuts(text, np.array([0, len(text)]))).all():
+                groups.append((kept, starts))
+                texts.append(text.decode())
+            else:
+                alone += kept
+    for (kept, starts), found in zip(groups, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        ids = found.ids
+        ends = np.cumsum(width[ids])
+        cuts = [0, *np.searchsorted(ends, starts[1:], side="right").tolist(), len(ids)]
+        for k, i in enumerate(kept):
+            out[i] = ids[cuts[k]:cuts[k + 1]]
+    for i, found in zip(alone, tokenizer.encode_batch_fast([units[i].decode() for i in alone], add_special_tokens=False)):
+        out[i] = found.ids
+    return out
+
+
 _LOADED: dict[str, tuple[UnitCache, int]] = {}
 
 
@@ -298,8 +352,13 @@ def byte_encoder(path: str) -> tuple[UnitCache, int]:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
 
+        # Bytes of each id: the vocabulary writes one character per byte.
+        width = np.zeros(tokenizer.get_vocab_size(), np.int64)
+        for token, number in tokenizer.get_vocab().items():
+            width[number] = len(token)
+
         def encode(units: list[bytes]) -> list:
-            return [e.ids for e in tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)]
+            return _encode_joined(tokenizer, width, units)
 
         _LOADED[path] = UnitCache(encode), tokenizer.get_vocab_size()
     return _LOADED[path]
@@ -347,7 +406,7 @@ def write_token_blocks(docs: DataFrame, path: str, tokenizer: str, id_col: str =
             return made
 
         for batch in batches:
-            for rows, text in chunks(batch, "text"):
+            for rows, text in chunks(batch, "text", 4 << 20):
                 ids, lengths = tokenize(text.data, text.offsets, tokenizer, end_id)
                 keys = rows.column(0).fill_null(-2**63).to_numpy(zero_copy_only=False)
                 low, ends = 0, np.cumsum(lengths)

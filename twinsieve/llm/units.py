@@ -9,7 +9,7 @@ import pandas as pd
 
 from .words import gather_ragged, hash_spans
 
-MOST_UNITS = 600_000        # units remembered per worker; beyond that the memory starts afresh
+MOST_UNITS = 2_000_000       # units remembered per worker; beyond that the memory starts afresh
 
 
 class UnitCache:
