@@ -262,7 +262,10 @@ def unpack_block(block: bytes, symbols: int) -> tuple[np.ndarray, np.ndarray, np
     at = _HEAD.size
     doc_ids = np.frombuffer(block, "<i8", docs, at)
     lengths = np.frombuffer(block, "<u8", docs, at + 8 * docs).astype(np.int64)
-    ids = decode_ids(block[at + 16 * docs:], n, symbols)
+    try:
+        ids = decode_ids(block[at + 16 * docs:], n, symbols)
+    except (IndexError, ValueError) as error:       # damaged words lead to impossible ids or run out
+        raise ValueError("token block cannot be decoded") from error
     if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
         raise ValueError("token block fails its checksum")
     return doc_ids, lengths, ids
