@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from ..functions.columns import c
-from .units import UnitCache
+from .units import UnitCache, worker_memory
 from .words import chunks, gather_ragged
 
 BLANK = "▁"
@@ -263,15 +263,13 @@ def merge_queue(symbols: list[str], score: dict[str, float], stop: int = 1) -> l
     return [t for t in texts if t is not None]
 
 
-_LOADED: dict[str, tuple[PieceModel, UnitCache]] = {}
-
-
 def load(path: str) -> tuple[PieceModel, UnitCache]:
     """The model and its memory of units, one per worker and file."""
-    if path not in _LOADED:
+    loaded = worker_memory("pieces")
+    if path not in loaded:
         model = PieceModel(path)
-        _LOADED[path] = model, UnitCache(lambda units: [model.unit(u) for u in units])
-    return _LOADED[path]
+        loaded[path] = model, UnitCache(lambda units: [model.unit(u) for u in units])
+    return loaded[path]
 
 
 def encode_text(data: bytes, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import c
 from ..session import ensure_checkpoint_dir
-from .units import UnitCache
+from .units import UnitCache, worker_memory
 from .words import chunks, gather_ragged
 
 BLOCK_IDS = 1 << 19         # a block closes at this many ids; a longer document is a block of its own
@@ -36,7 +36,7 @@ FIRST_ROUND = 1 << 11
 END_ID = 2
 
 _MAGIC = b"TWRC"
-_HEAD = struct.Struct("<4sIIQI")
+_HEAD = "<4sIIQI"
 _SCALE = 24                 # probabilities are parts of 2^24
 _BASE = 17                  # order-0 frequencies are parts of 2^17, each id at least one
 _SLOTS = 18                 # order-2 table of 2^18 slots
@@ -250,16 +250,16 @@ def _relearn(model: _Model, part, lengths, begins, kept) -> None:
 
 
 def pack_block(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, symbols: int) -> bytes:
-    head = _HEAD.pack(_MAGIC, 1, len(doc_ids), len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+    head = struct.pack(_HEAD, _MAGIC, 1, len(doc_ids), len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
     return head + doc_ids.astype("<i8").tobytes() + lengths.astype("<u8").tobytes() + encode_ids(ids, symbols)
 
 
 def unpack_block(block: bytes, symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document ids, lengths, ids); raises ValueError when the block is damaged."""
-    magic, version, docs, n, crc = _HEAD.unpack_from(block)
+    magic, version, docs, n, crc = struct.unpack_from(_HEAD, block)
     if magic != _MAGIC or version != 1:
         raise ValueError("not a token block")
-    at = _HEAD.size
+    at = struct.calcsize(_HEAD)
     doc_ids = np.frombuffer(block, "<i8", docs, at)
     lengths = np.frombuffer(block, "<u8", docs, at + 8 * docs).astype(np.int64)
     try:
@@ -345,12 +345,10 @@ def _encode_joined(tokenizer, width: np.ndarray, units: list[bytes]) -> list:
     return out
 
 
-_LOADED: dict[str, tuple[UnitCache, int]] = {}
-
-
 def byte_encoder(path: str) -> tuple[UnitCache, int]:
     """(memory over the tokenizers library, number of ids), one per worker and file."""
-    if path not in _LOADED:
+    loaded = worker_memory("tokens")
+    if path not in loaded:
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
@@ -363,8 +361,8 @@ def byte_encoder(path: str) -> tuple[UnitCache, int]:
         def encode(units: list[bytes]) -> list:
             return _encode_joined(tokenizer, width, units)
 
-        _LOADED[path] = UnitCache(encode), tokenizer.get_vocab_size()
-    return _LOADED[path]
+        loaded[path] = UnitCache(encode), tokenizer.get_vocab_size()
+    return loaded[path]
 
 
 def tokenize(data: bytes, offsets: np.ndarray, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
 import numpy as np
@@ -12,6 +14,14 @@ from .words import gather_ragged, hash_spans
 MOST_UNITS = 2_000_000       # units remembered per worker; beyond that the memory starts afresh
 
 
+def worker_memory(name: str) -> dict:
+    """A dict that lasts as long as the worker process.
+
+    Functions travel to the workers by value, so their module globals end with the task; a module object does not.
+    """
+    return sys.modules.setdefault(f"twinsieve_memory_{name}", types.ModuleType(name)).__dict__
+
+
 class UnitCache:
     """Ids of distinct units (byte strings), kept as flat arrays sorted by the unit's 64-bit hash.
 
