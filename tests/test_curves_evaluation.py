@@ -103,27 +103,28 @@ def two_stage(spark):
     return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_id long, y int, s1 int, s2 int")
 
 
-def test_combined_counts_equal_counter_arithmetic(spark):
+def test_combined_counts_move_only_cleared_alerts(spark):
     df = two_stage(spark)
     row = e.combined_confusion(df, "y", "s1", "s2").first().asDict()
     stage1 = e.confusion(df, "y", "s1").first().asDict()
-    matched = df.filter((c("s1") == 1) & c("s2").isNotNull())
-    recheck = {"fp_before": matched.filter("y = 0").count(), "fp_after": matched.filter("y = 0 AND s2 = 1").count(),
-               "tp_before": matched.filter("y = 1").count(), "tp_kept": matched.filter("y = 1 AND s2 = 1").count()}
-    assert {k: row[k] for k in ("tn", "fp", "fn", "tp")} == e.combine_counters(stage1, recheck)
+    cleared = {y: df.filter((c("s1") == 1) & (c("s2") == 0) & (c("y") == y)).count() for y in (0, 1)}
+    assert (row["tn"], row["fp"]) == (stage1["tn"] + cleared[0], stage1["fp"] - cleared[0])
+    assert (row["fn"], row["tp"]) == (stage1["fn"] + cleared[1], stage1["tp"] - cleared[1])
     assert row["fp_reduction"] == pytest.approx(1 - row["fp"] / stage1["fp"])
 
 
 def test_stored_counters(spark):
-    stage1 = {"tn": 32919, "fp": 26995, "fn": 158, "tp": 1088}
-    got = e.combine_counters(stage1, {"fp_before": 26039, "fp_after": 1354, "tp_before": 973, "tp_kept": 903})
-    assert got == {"tn": 57604, "fp": 2310, "fn": 228, "tp": 1018}
-    block = e.metric_block(spark.createDataFrame([tuple(got.values())], "tn long, fp long, fn long, tp long")).first()
+    combined = (57604, 2310, 228, 1018)
+    block = e.metric_block(spark.createDataFrame([combined], "tn long, fp long, fn long, tp long")).first()
     assert [round(block[k], 4) for k in ("precision", "recall", "f1", "accuracy")] == [0.3059, 0.817, 0.4451, 0.9585]
-    first = e.metric_block(spark.createDataFrame([tuple(stage1.values())], "tn long, fp long, fn long, tp long")).first()
+    first = e.metric_block(spark.createDataFrame([(32919, 26995, 158, 1088)], "tn long, fp long, fn long, tp long")).first()
     assert (first["precision"], first["fpr"]) == (pytest.approx(0.03874229961186483), pytest.approx(0.4505624728777915))
-    with pytest.raises(ValueError):
-        e.combine_counters(stage1, {"fp_before": 99_999, "fp_after": 0, "tp_before": 1, "tp_kept": 1})
+
+
+def test_bootstrap_of_nothing_is_null(spark):
+    none = two_stage(spark).limit(0)
+    row = e.bootstrap_ci(none, "y", "s1", "s2", replicates=5).first()
+    assert (row["ci_low"], row["ci_high"], row["replicates"]) == (None, None, 0)
 
 
 def test_empty_prediction_has_zero_precision(spark):

@@ -122,7 +122,7 @@ def uniform_of(text: Column) -> Column:
 # ---------------------------------------------------------------- small helpers
 
 def cuts_passed(score: Column, cuts: Sequence[float], strict: bool = False) -> Column:
-    """How many of the ascending cuts a score reaches (``>=``, or ``>`` when strict); a null score none.
+    """How many of the ascending cuts a score reaches (``>=``, or ``>`` when strict); a null or NaN score none.
 
     Written as a binary search of nested conditions, so a row meets about log2 of the cuts.
     """
@@ -133,7 +133,7 @@ def cuts_passed(score: Column, cuts: Sequence[float], strict: bool = False) -> C
         cut = F.lit(float(cuts[middle]))
         return F.when(score > cut if strict else score >= cut, search(middle + 1, high)).otherwise(search(low, middle))
 
-    return search(0, len(cuts))
+    return F.when(F.isnan(score), F.lit(0)).otherwise(search(0, len(cuts)))
 
 
 def ratio(top: Column, bottom: Column) -> Column:

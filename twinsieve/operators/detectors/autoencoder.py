@@ -1,19 +1,21 @@
 """Autoencoder family, trained data-parallel.
 
-Each epoch is one Spark job: every partition runs mini-batch Adam from the current weights and returns
-one weight set, and the row-weighted mean becomes the next weights. Training rows never leave the
-executors. Several layouts can train in the same pass over the data.
+Each epoch is one Spark job: every virtual worker, a stretch of rows given by their hash, runs mini-batch Adam
+from the current weights and returns one weight set, and the row-weighted mean becomes the next weights. Training
+rows never leave the executors, and partitions, Arrow batches and session settings do not change what is learned.
+Several layouts can train in the same pass over the data.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel, keyword_only
+from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -21,9 +23,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
-from ...functions.columns import c, draw_text
+from ...functions.columns import c, draw_text, uniform_of
 from ...functions.ordered import exact_quantiles
-from ...session import shuffle_width
+from ...session import cut_lineage
 from ..curves import roc_auc
 from .common import DetectorParams, StateModel, feature_array, matrix_of, pack, with_batch_score
 
@@ -35,7 +37,7 @@ TRIM_SHARE = 0.10
 
 Weights = list[np.ndarray]      # alternating matrices and biases
 
-ROWS_PER_WORKER = 20_000
+ROWS_PER_WORKER = 20_000        # rows of one virtual worker
 DIRECT_BLOBS = 64               # above this many workers, partial weights are averaged on executors first
 DECAY1, DECAY2, TINY, RIDGE = 0.9, 0.999, 1e-8, 1e-4
 
@@ -113,50 +115,80 @@ def split_weights(flat: np.ndarray, shapes: Sequence[tuple]) -> Weights:
 # ---------------------------------------------------------------- data-parallel training
 
 def training_rows(df: DataFrame, id_col: str, features: str, seed: int, holdout: float) -> tuple[DataFrame, int]:
-    """(x, held) in a fixed partitioning and order, both given by the row hash, and the partition count."""
+    """(worker, x, held) sorted by worker and row hash, and the number of virtual workers.
+
+    There is one virtual worker per ROWS_PER_WORKER rows, and the row hash deals the rows, so what is learned depends
+    on the rows and the seed and not on partitions. A partition may hold several workers. The rows are written
+    to the checkpoint folder, because every epoch reads them.
+    """
     rows = df.select(feature_array(df, features).alias("x"), draw_text(c(id_col), seed).alias("__draw"))
-    count = df.count()
-    workers = max(1, min(shuffle_width(df.sparkSession), math.ceil(count / ROWS_PER_WORKER)))
+    workers = max(1, math.ceil(df.count() / ROWS_PER_WORKER))
     tail = F.conv(F.substring("__draw", 9, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
     fixed = (rows.withColumn("held", (tail < F.lit(holdout)).cast("int"))
-             .repartition(workers, "__draw").sortWithinPartitions("__draw").select("x", "held"))
-    return fixed, workers
+             .withColumn("worker", F.floor(uniform_of(c("__draw")) * workers).cast("int"))
+             .repartition("worker").sortWithinPartitions("worker", "__draw", F.xxhash64("x")).select("worker", "x", "held"))
+    return cut_lineage(fixed), workers
 
 
 _SCHEMA = "layout int, worker int, n bigint, held_n bigint, held_loss double, blob binary"
 
 
-def _epoch(rows: DataFrame, states: dict[int, tuple], rate: float, batch: int, seed: int, epoch: int) -> DataFrame:
+def _pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(worker, x, held) of up to ``size`` rows of one worker, however Arrow cuts its batches."""
+    owner, xs, helds, waiting = None, [], [], 0
+
+    def flush():
+        return owner, np.concatenate(xs), np.concatenate(helds)
+
+    for part in batches:
+        if not part.num_rows:
+            continue
+        workers = part.column("worker").to_numpy(zero_copy_only=False)
+        x = matrix_of(part.column("x"))
+        held = part.column("held").to_numpy(zero_copy_only=False) == 1
+        low = 0
+        while low < len(workers):
+            if waiting and (workers[low] != owner or waiting == size):
+                yield flush()
+                xs, helds, waiting = [], [], 0
+            owner = int(workers[low])
+            end = int(np.searchsorted(workers, owner, side="right"))
+            high = min(end, low + size - waiting)
+            xs.append(x[low:high])
+            helds.append(held[low:high])
+            waiting += high - low
+            low = high
+    if waiting:
+        yield flush()
+
+
+def _epoch(rows: DataFrame, states: dict[int, tuple], rate: float, batch: int) -> DataFrame:
     """One pass: partial weights of every worker and layout, and the held-out loss of the incoming weights."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        worker = TaskContext.get().partitionId()
-        rng = np.random.default_rng([seed, epoch, worker])
+    def trained(worker: int, pieces: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        """Weights after one worker's mini-batches of ``batch`` rows, cut in hash order."""
         trainers = {k: Trainer(shapes, flat, step, rate) for k, (shapes, flat, step) in states.items()}
-        incoming = {k: t.weights for k, t in ((k, Trainer(*states[k], rate)) for k in states)}
+        incoming = {k: Trainer(*states[k], rate).weights for k in states}
         n = held_n = 0
         loss = dict.fromkeys(states, 0.0)
-        for part in batches:
-            if not part.num_rows:
-                continue
-            x = matrix_of(part.column("x"))
-            held = part.column("held").to_numpy(zero_copy_only=False) == 1
+        for x, held in pieces:
             kept, seen = x[~held], x[held]
             held_n, n = held_n + len(seen), n + len(kept)
-            order = rng.permutation(len(kept))
             for k, trainer in trainers.items():
                 if len(seen):
                     loss[k] += float(squared_errors(incoming[k], seen).mean(axis=1).sum())
-                for at in range(0, len(kept), batch):
-                    trainer.learn(kept[order[at:at + batch]])
+                if len(kept):
+                    trainer.learn(kept)
         ks = list(states)
-        yield pa.RecordBatch.from_pydict({
+        return pa.RecordBatch.from_pydict({
             "layout": pa.array(ks, pa.int32()), "worker": pa.array([worker] * len(ks), pa.int32()),
             "n": pa.array([n] * len(ks), pa.int64()), "held_n": pa.array([held_n] * len(ks), pa.int64()),
             "held_loss": pa.array([loss[k] for k in ks], pa.float64()),
             "blob": pa.array([trainers[k].flat.tobytes() for k in ks], pa.binary())})
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for worker, pieces in groupby(_pieces(batches, batch), key=lambda piece: piece[0]):
+            yield trained(worker, ((x, held) for _, x, held in pieces))
+
     return rows.mapInArrow(work, _SCHEMA)
 
 
@@ -186,34 +218,30 @@ def train_layouts(df: DataFrame, id_col: str, features: str, layouts: Sequence[S
                   patience: int = 10, holdout: float = 0.10, tolerance: float = 1e-4) -> list[Weights]:
     """Train all layouts in shared passes; each stops by itself when its held-out loss stalls."""
     rows, workers = training_rows(df, id_col, features, seed, holdout)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        width = rows.select(F.size("x")).first()[0]
-        states, best = {}, {}
-        for k, layout in enumerate(layouts):
-            start = initial_weights(width, layout, seed)
-            flat = np.concatenate([a.ravel() for a in start])
-            states[k] = ([a.shape for a in start], np.concatenate([flat, np.zeros(2 * len(flat))]), 0)
-            best[k] = {"loss": math.inf, "flat": flat, "stalled": 0}
-        for epoch in range(epochs + 1):      # the extra pass only measures the last weights
-            for k, mean in _gather(_epoch(rows, states, rate, batch, seed, epoch), workers).items():
-                shapes, flat, step = states[k]
-                measured = int(mean["held_n"].iloc[0])
-                loss = float(mean["held_loss"].iloc[0]) / measured if measured else -epoch
-                if loss < best[k]["loss"] - tolerance * abs(best[k]["loss"] if best[k]["loss"] < math.inf else 0):
-                    best[k].update(loss=loss, flat=flat.reshape(3, -1)[0], stalled=0)
-                else:
-                    best[k]["stalled"] += 1
-                taken = math.ceil(int(mean["n"].iloc[0]) / max(1, workers) / batch)
-                states[k] = (shapes, np.frombuffer(mean["blob"].iloc[0]).copy(), step + max(1, taken))
-                if best[k]["stalled"] >= patience:
-                    del states[k]
-            if not states:
-                break
-        return [split_weights(best[k]["flat"], [a.shape for a in initial_weights(width, layout, seed)])
-                for k, layout in enumerate(layouts)]
-    finally:
-        rows.unpersist()
+    width = rows.select(F.size("x")).first()[0]
+    states, best = {}, {}
+    for k, layout in enumerate(layouts):
+        start = initial_weights(width, layout, seed)
+        flat = np.concatenate([a.ravel() for a in start])
+        states[k] = ([a.shape for a in start], np.concatenate([flat, np.zeros(2 * len(flat))]), 0)
+        best[k] = {"loss": math.inf, "flat": flat, "stalled": 0}
+    for epoch in range(epochs + 1):      # the extra pass only measures the last weights
+        for k, mean in _gather(_epoch(rows, states, rate, batch), workers).items():
+            shapes, flat, step = states[k]
+            measured = int(mean["held_n"].iloc[0])
+            loss = float(mean["held_loss"].iloc[0]) / measured if measured else -epoch
+            if loss < best[k]["loss"] - tolerance * abs(best[k]["loss"] if best[k]["loss"] < math.inf else 0):
+                best[k].update(loss=loss, flat=flat.reshape(3, -1)[0], stalled=0)
+            else:
+                best[k]["stalled"] += 1
+            taken = math.ceil(int(mean["n"].iloc[0]) / max(1, workers) / batch)
+            states[k] = (shapes, np.frombuffer(mean["blob"].iloc[0]).copy(), step + max(1, taken))
+            if best[k]["stalled"] >= patience:
+                del states[k]
+        if not states:
+            break
+    return [split_weights(best[k]["flat"], [a.shape for a in initial_weights(width, layout, seed)])
+            for k, layout in enumerate(layouts)]
 
 
 # ---------------------------------------------------------------- estimator
@@ -248,7 +276,7 @@ class Autoencoder(Estimator, _AutoencoderParams, DefaultParamsReadable, DefaultP
         model = self._model(self._weights(df))
         share = get(self.trimShare)
         if share > 0:
-            scored = model.transform(df)
+            scored = cut_lineage(model.transform(df))
             cut = exact_quantiles(scored, {"s": c(get(self.scoreCol))}, [1.0 - share])["s"][0]
             kept = scored.filter(c(get(self.scoreCol)) <= F.lit(cut)).drop(get(self.scoreCol))
             model = self._model(self._weights(kept))
@@ -314,7 +342,7 @@ def sweep(train: DataFrame, validation: DataFrame, y: str, id_col: str, features
         model = AutoencoderModel.of(weights)._set(featuresCol=features, scoreCol=f"__s{i}")
         scored = model.transform(scored)
     names = [f"__s{i}" for i in range(len(trained))]
-    long = scored.select(c(y).alias("y"), *names).unpivot(["y"], names, "layout", "score")
+    long = cut_lineage(scored.select(c(y).alias("y"), *names)).unpivot(["y"], names, "layout", "score")
     aucs = {r["layout"]: r["auc"] for r in roc_auc(long, "y", "score", ["layout"]).collect()}
     table = [(aucs[n], tuple(layouts[i])) for i, n in enumerate(names)]
     return sorted(table, key=lambda t: (-(t[0] or 0.0), t[1]))

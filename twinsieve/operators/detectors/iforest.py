@@ -13,6 +13,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from ...functions.columns import c, draw_text, draw_uniform
+from ...session import cut_lineage
 from ..curves import contamination_cut
 from .common import DetectorParams, StateModel, feature_array, pack, with_batch_score
 
@@ -117,7 +118,8 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
             raise ValueError("no rows to grow trees from")
         model = self._copyValues(IsolationForestModel(pack(_forest_arrays(table, subsample, count))))
         if get(self.contamination) > 0:
-            model._set(cut=contamination_cut(model.transform(df), get(self.scoreCol), get(self.contamination)))
+            scored = cut_lineage(model.transform(df).select(c(get(self.scoreCol))))     # scored once, read several times
+            model._set(cut=contamination_cut(scored, get(self.scoreCol), get(self.contamination)))
         return model
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from ...functions.columns import c, ratio
 from ...functions.ordered import prefix_sums, with_value_bucket
 from ...functions.skew import salted_join
+from ...session import cut_lineage
 from .common import DetectorParams, StateModel, feature_array, pack, with_batch_score
 
 
@@ -72,7 +73,7 @@ def two_means_split(df: DataFrame, score: str) -> DataFrame:
     sums over the distinct values give every split's between-cluster sum of squares. No restarts, no passes
     over cached rows. The cut lies half-way between the centres.
     """
-    logs = df.select(F.log1p(c(score).cast("double")).alias("v")).filter(c("v").isNotNull() & ~F.isnan("v"))
+    logs = cut_lineage(df.select(F.log1p(c(score).cast("double")).alias("v")).filter(c("v").isNotNull() & ~F.isnan("v")))
     hist = logs.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("s", c("v") * c("n"))
     summed = prefix_sums(with_value_bucket(hist, "v", sample=logs), "__bucket", [c("v")], ["n", "s"])
     low, high = c("s_cum") / c("n_cum"), F.try_divide(c("s_all") - c("s_cum"), c("n_all") - c("n_cum"))

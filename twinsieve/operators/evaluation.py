@@ -113,22 +113,6 @@ def combined_confusion(df: DataFrame, y: str, s1: str, s2: str) -> DataFrame:
     return metric_block(counts).withColumn("fp_reduction", 1 - ratio(c("fp"), c("fp_before"))).drop("fp_before")
 
 
-def combine_counters(stage1: Mapping[str, int], recheck: Mapping[str, int]) -> dict[str, int]:
-    """Combined counts when only stored counters are at hand.
-
-    ``stage1`` has tn, fp, fn, tp; ``recheck`` has fp_before, fp_after, tp_before, tp_kept over the
-    matched alerts. Counters that cannot come from the same run are an error.
-    """
-    cleared = recheck["fp_before"] - recheck["fp_after"]
-    dropped = recheck["tp_before"] - recheck["tp_kept"]
-    fits = (0 <= cleared <= recheck["fp_before"] <= stage1["fp"]
-            and 0 <= dropped <= recheck["tp_before"] <= stage1["tp"])
-    if not fits:
-        raise ValueError("re-check counters do not fit inside the stage-1 counters")
-    return {"tn": stage1["tn"] + cleared, "fp": stage1["fp"] - cleared,
-            "fn": stage1["fn"] + dropped, "tp": stage1["tp"] - dropped}
-
-
 def system_comparison(df: DataFrame, y: str, verdicts: Mapping[str, Column]) -> DataFrame:
     """Metric rows of several named verdict columns, from one pass over the rows."""
     flags = [flag.cast("int").alias(f"p{i}") for i, flag in enumerate(verdicts.values())]
@@ -212,6 +196,9 @@ def bootstrap_ci(df: DataFrame, y: str, s1: str, s2: str, replicates: int = 2000
             gains = []
             for packed_cells, replicate in zip(pdf["cells"], pdf["replicate"]):
                 rows = [(r["y"], r["s1"], r["final"], r["n"]) for r in packed_cells]
+                if not rows:            # nothing to draw from
+                    gains.append(None)
+                    continue
                 n = np.array([r[3] for r in rows], dtype=np.int64)
                 rng = np.random.default_rng([seed, int(replicate)])
                 got = rng.multinomial(n.sum(), n / n.sum())

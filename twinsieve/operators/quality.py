@@ -40,10 +40,17 @@ def one_row_to_long(row: DataFrame, key: str, value: str) -> DataFrame:
 
 # ---------------------------------------------------------------- nulls and classes
 
+def missing(df: DataFrame, name: str) -> Column:
+    """A null, or a NaN in a fractional column."""
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return c(name).isNull() | F.isnan(c(name))
+    return c(name).isNull()
+
+
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, n_null) for every column, from one aggregate pass."""
     names = list(columns or df.columns)
-    return one_row_to_long(df.agg(*[F.count_if(c(n).isNull()).alias(n) for n in names]), "column_name", "n_null")
+    return one_row_to_long(df.agg(*[F.count_if(missing(df, n)).alias(n) for n in names]), "column_name", "n_null")
 
 
 def top_null_columns(df: DataFrame, limit: int = 30) -> DataFrame:
@@ -54,13 +61,13 @@ def top_null_columns(df: DataFrame, limit: int = 30) -> DataFrame:
 
 def null_columns(df: DataFrame) -> DataFrame:
     """Columns without a single value."""
-    row = df.agg(*[(F.count(c(n)) == 0).alias(n) for n in df.columns])
+    row = df.agg(*[(F.count_if(~missing(df, n)) == 0).alias(n) for n in df.columns])
     return one_row_to_long(row, "column_name", "empty").filter(c("empty")).select("column_name")
 
 
 def presence_rate(df: DataFrame, columns: Sequence[str], cls: str | None = None) -> DataFrame:
     """Share of rows that hold a value, per column (and per class)."""
-    shares = [F.avg(c(n).isNotNull().cast("double")).alias(n) for n in columns]
+    shares = [F.avg((~missing(df, n)).cast("double")).alias(n) for n in columns]
     if cls is None:
         return one_row_to_long(df.agg(*shares), "column_name", "presence")
     return df.groupBy(c(cls)).agg(*shares).unpivot([cls], list(columns), "column_name", "presence")
@@ -109,6 +116,8 @@ def row_digest(df: DataFrame) -> Column:
             value = value + F.lit(0.0)
         elif isinstance(f.dataType, T.BinaryType):
             value = F.hex(value)
+        elif isinstance(f.dataType, T.TimestampType):
+            value = F.unix_micros(value)        # as text, the two passes of a repeated autumn hour would look alike
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
             value = F.to_json(F.struct(value.alias("v")))
         text = value.cast("string")
@@ -129,8 +138,9 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 def column_cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact distinct non-null values per column, without one distinct aggregate per column."""
-    values = value_counts(df, columns)
-    return values.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    values = value_counts(df, columns).groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    names = df.sparkSession.createDataFrame([(n,) for n in columns], "column_name string")
+    return names.join(values, "column_name", "left").select("column_name", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -144,8 +154,8 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Columns with at most one distinct value (nulls aside), by min = max in one pass."""
     names = list(columns or df.columns)
-    row = df.agg(*[(F.count(c(n)).eqNullSafe(F.lit(0)) | F.min(c(n)).eqNullSafe(F.max(c(n)))).alias(n)
-                   for n in names])
+    held = {n: F.when(~missing(df, n), c(n)) for n in names}
+    row = df.agg(*[(F.count(v).eqNullSafe(F.lit(0)) | F.min(v).eqNullSafe(F.max(v))).alias(n) for n, v in held.items()])
     return one_row_to_long(row, "column_name", "constant").filter(c("constant")).select("column_name")
 
 

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import c, ratio
+from ..functions.columns import c, nan_to_null, ratio
 from ..operators.curves import RETENTION_FLOOR, operating_point, recheck_sweep
 from ..operators.matching import (alerts_by_key, flows_for_alerts, look_up_scores, score_per_key,
                                   with_endpoint_key, without_training_flows)
-from ..operators.segments import merge_segments
+from ..operators.segments import IDENTITY, merge_segments
 from ..session import cut_lineage
 
 
@@ -43,8 +43,10 @@ def flow_scores(segments: DataFrame, alerts: DataFrame, score: Callable[[DataFra
     fresh = segments if training is None else without_training_flows(segments, training, columns.flow_id)
     keyed = with_endpoint_key(fresh, *columns.endpoints)
     wanted = flows_for_alerts(keyed, alerts).drop("key")
-    merged = merge_segments(wanted, [columns.flow_id], columns.order)
+    identity = list(dict.fromkeys([*IDENTITY, *columns.endpoints, columns.order[0]]))
+    merged = merge_segments(wanted, [columns.flow_id], columns.order, [n for n in identity if n != columns.flow_id])
     scored = with_endpoint_key(score(merged), *columns.endpoints)
+    scored = scored.withColumn("proba", nan_to_null(c("proba")))      # a score that is not a number is none
     return cut_lineage(score_per_key(scored, "key", columns.flow_id, "proba", pick))
 
 

@@ -44,9 +44,9 @@ class Screening:
 
 
 def flagged(scored: DataFrame, score: str, threshold: float, strict: bool = False) -> DataFrame:
-    """Rows at or above the cut (above it when strict)."""
+    """Rows at or above the cut (above it when strict); a NaN score is never flagged."""
     hit = c(score) > F.lit(threshold) if strict else c(score) >= F.lit(threshold)
-    return scored.filter(hit)
+    return scored.filter(hit & ~F.isnan(c(score)))
 
 
 def screen(rows: DataFrame, row_id: str, cls: str, detector: Estimator, preprocessor: RowPreprocessor,

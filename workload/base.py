@@ -89,66 +89,64 @@ def sql_quantiles(source: str, value: str, probs: Sequence[float]) -> str:
       JOIN (SELECT {value} AS v, row_number() OVER (ORDER BY {value}) - 1 AS k FROM {source}) b ON b.k = ceil(q.place))"""
 
 
-# ---------------------------------------------------------------- alerts and segments: lineitem
+# ---------------------------------------------------------------- alerts: orders; segments: lineitem
 
-ITEM_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+ALERT_KEY = ["o_orderkey"]
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items with a large quantity; endpoints swap sides when the part key is odd."""
-    items = table(spark, sf_dir, "lineitem").filter(c("l_quantity") >= 45)
-    odd = c("l_partkey") % 2 == 1
-    supplier, line = F.concat(F.lit("s"), c("l_suppkey")), F.concat(F.lit("n"), c("l_linenumber"))
-    port = c("l_suppkey") + 1000
+    """Orders as alerts, some of them without any item; endpoints swap sides when the customer key is odd."""
+    orders = table(spark, sf_dir, "orders")
+    odd = c("o_custkey") % 2 == 1
+    order, line = F.concat(F.lit("o"), c("o_orderkey")), F.concat(F.lit("n"), c("o_orderkey") % 7)
 
     def side(first, second):
         return F.when(odd, second).otherwise(first)
 
-    return items.select(
-        *ITEM_KEY, "l_quantity", "l_tax", (c("l_discount") >= 0.1).cast("int").alias("y"),
-        side(supplier, line).alias("src_ip"), side(line, supplier).alias("dst_ip"),
-        side(port, F.lit(443)).alias("src_port"), side(F.lit(443), port).alias("dst_port"))
+    return orders.select(
+        *ALERT_KEY, (c("o_orderpriority") == "1-URGENT").cast("int").alias("y"),
+        side(order, line).alias("src_ip"), side(line, order).alias("dst_ip"),
+        side(F.lit(1000), F.lit(443)).alias("src_port"), side(F.lit(443), F.lit(1000)).alias("dst_port"))
 
 
-SEGMENT_COLUMNS = FlowColumns(order=("Timestamp", "l_orderkey", "l_partkey"))
+SEGMENT_COLUMNS = FlowColumns(order=("Timestamp", "l_suppkey", "l_partkey"))
 
 
 def segments(spark: SparkSession, sf_dir: str, per_flag: bool = False) -> DataFrame:
-    """Items of nine in ten suppliers as segments; ``per_flag`` gives several connections per endpoint pair."""
-    items = table(spark, sf_dir, "lineitem").filter(c("l_suppkey") % 10 != 0)
-    flow = [F.lit("s"), c("l_suppkey"), F.lit("-n"), c("l_linenumber")]
-    return items.select(
-        F.concat(*flow, *([F.lit("-"), c("l_returnflag")] if per_flag else [])).alias("Flow ID"),
-        F.concat(F.lit("s"), c("l_suppkey")).alias("Src IP"), (c("l_suppkey") + 1000).alias("Src Port"),
-        F.concat(F.lit("n"), c("l_linenumber")).alias("Dst IP"), F.lit(443).alias("Dst Port"),
+    """Items as segments of their order's connection; ``per_flag`` gives several connections per endpoint pair."""
+    flow = [F.lit("f"), c("l_orderkey"), *([F.lit("-"), c("l_returnflag")] if per_flag else [])]
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(*flow).alias("Flow ID"), F.concat(F.lit("o"), c("l_orderkey")).alias("Src IP"), F.lit(1000).alias("Src Port"),
+        F.concat(F.lit("n"), c("l_orderkey") % 7).alias("Dst IP"), F.lit(443).alias("Dst Port"),
         c("l_shipdate").alias("Timestamp"), c("l_extendedprice").alias("price"), c("l_tax").alias("tax_max"),
-        "l_orderkey", "l_partkey")
+        "l_suppkey", "l_partkey")
 
 
 def price_score(merged: DataFrame) -> DataFrame:
     """Given second-stage score: the merged mean price, scaled to about 0..1."""
-    return merged.withColumn("proba", (c("price") - 40000) / 30000)
+    return merged.withColumn("proba", (c("price") - 40000) / 30011)
 
 
 def _sql_key(a: str, b: str) -> str:
     return f"least({a}, {b}) || '|' || greatest({a}, {b})"
 
 
-_SUPPLIER, _LINE = "'s' || l_suppkey || ':' || (l_suppkey + 1000)", "'n' || l_linenumber || ':443'"
+def _sql_endpoints(key: str) -> str:
+    return _sql_key(f"'o' || {key} || ':1000'", f"'n' || ({key} % 7) || ':443'")
+
 
 ALERTS_SQL = f"""al AS (
-  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_tax, CASE WHEN l_discount >= 0.1 THEN 1 ELSE 0 END AS y,
-         {_sql_key(_SUPPLIER, _LINE)} AS key
-  FROM lineitem WHERE l_quantity >= 45)"""
+  SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS y, {_sql_endpoints('o_orderkey')} AS key
+  FROM orders)"""
 
 
 def segments_sql(per_flag: bool = False) -> str:
-    flow = "'s' || l_suppkey || '-n' || l_linenumber" + (" || '-' || l_returnflag" if per_flag else "")
+    flow = "'f' || l_orderkey" + (" || '-' || l_returnflag" if per_flag else "")
     return f"""sg AS (
-  SELECT {flow} AS flow_id, {_sql_key(_SUPPLIER, _LINE)} AS key, l_extendedprice, l_tax, l_orderkey, l_partkey
-  FROM lineitem WHERE l_suppkey % 10 <> 0),
+  SELECT {flow} AS flow_id, {_sql_endpoints('l_orderkey')} AS key, l_extendedprice, l_tax, l_suppkey, l_partkey
+  FROM lineitem),
 fl AS (
-  SELECT flow_id, min(key) AS key, (avg(l_extendedprice) - 40000) / 30000 AS proba, max(l_tax) AS tax_max
+  SELECT flow_id, min(key) AS key, (avg(l_extendedprice) - 40000) / 30011 AS proba, max(l_tax) AS tax_max
   FROM sg WHERE key IN (SELECT key FROM al) GROUP BY flow_id),
 sc AS (SELECT key, arg_max(proba, flow_id) AS proba FROM fl GROUP BY key)"""
 

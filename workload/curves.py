@@ -52,11 +52,12 @@ def class_quantile_cut(spark, sf_dir):
 
 def contamination_cut(spark, sf_dir):
     rows = events(spark, sf_dir)
-    return _passing(rows, curves.contamination_cut(rows, "score"))
+    return _passing(rows, curves.contamination_cut(rows, "score"), strict=True)
 
 
-def _passing(rows, cut):
-    return rows.filter(c("score") >= F.lit(cut)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumn(
+def _passing(rows, cut, strict=False):
+    passing = c("score") > F.lit(cut) if strict else c("score") >= F.lit(cut)
+    return rows.filter(passing).groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "cut", F.round(F.lit(cut), 6))
 
 
@@ -133,7 +134,7 @@ def mcnemar(spark, sf_dir):
 
 def mcnemar_close(spark, sf_dir):
     """Two verdicts that differ little, so the p-value is not 0."""
-    rows = events(spark, sf_dir).filter(c("y") == 1).select(
+    rows = events(spark, sf_dir).select(
         "y", (c("score") >= 60).cast("int").alias("a"), (c("s2") * 115 >= 60).cast("int").alias("b2"))
     return round6(evaluation.mcnemar(rows, "y", "a", "b2"), "p_value")
 
@@ -252,7 +253,7 @@ ORACLES = {
         FROM ev, {sql_quantiles('att', 'score', [1.0 - 0.90])} q WHERE score >= cut GROUP BY event_type, cut""",
     "contamination_cut": f"""{_EV}
         SELECT event_type, count(*) AS n, round(cut, 6) AS cut
-        FROM ev, {sql_quantiles('ev', 'score', [1.0 - 0.02])} q WHERE score >= cut GROUP BY event_type, cut""",
+        FROM ev, {sql_quantiles('ev', 'score', [1.0 - 0.02])} q WHERE score > cut GROUP BY event_type, cut""",
     "robust_trim": f"""{_EV}
         SELECT event_id, score FROM ev, {sql_quantiles('ev', 'score', [1.0 - 0.10])} q WHERE score <= cut""",
     "rank_fusion": f"""{_EV}, r AS (
@@ -294,7 +295,7 @@ ORACLES = {
     "mcnemar": f"""{_VD}, f AS (SELECT *, {_FINAL} AS final FROM vd),
         d AS (SELECT {_DISCORDANT.format(a='s1', b='final')} FROM f), t AS ({_TAIL}) {_VERDICT}""",
     "mcnemar_close": f"""{_EV}, f AS (SELECT y, CASE WHEN score >= 60 THEN 1 ELSE 0 END AS a1,
-                                             CASE WHEN s2 * 115 >= 60 THEN 1 ELSE 0 END AS b1 FROM ev WHERE y = 1),
+                                             CASE WHEN s2 * 115 >= 60 THEN 1 ELSE 0 END AS b1 FROM ev),
         d AS (SELECT {_DISCORDANT.format(a='a1', b='b1')} FROM f), t AS ({_TAIL}) {_VERDICT}""",
     "bootstrap_cells": f"{_VD} SELECT y, s1, {_FINAL} AS final, count(*) AS n FROM vd GROUP BY ALL",
     "system_comparison": f"""{_EV}, p AS (SELECT y, (score >= 30)::INT AS a, (score >= 90)::INT AS b, (s2 >= 0.5e0)::INT AS h FROM ev)

@@ -11,13 +11,13 @@ from twinsieve.operators.matching import (flows_for_alerts, look_up_scores, matc
 from twinsieve.operators.segments import merge_segments
 from twinsieve.plans import flows as flow_plan, recheck as plan
 
-from .base import (ALERTS_SQL, ITEM_KEY, SEED, SEGMENT_COLUMNS, alerts, price_score, round6, segments, segments_sql,
+from .base import (ALERTS_SQL, ALERT_KEY, SEED, SEGMENT_COLUMNS, alerts, price_score, round6, segments, segments_sql,
                    sql_draw, table)
 
 
 def keyed_alerts(spark, sf_dir):
     return with_endpoint_key(alerts(spark, sf_dir), "src_ip", "dst_ip", "src_port", "dst_port").select(
-        *ITEM_KEY, "y", "key")
+        *ALERT_KEY, "y", "key")
 
 
 def scores(spark, sf_dir, per_flag=False):
@@ -50,22 +50,15 @@ def endpoint_key_query(spark, sf_dir):
     return with_endpoint_key(sides, "src", "dst", "sport", "dport").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def few_alerts(spark, sf_dir):
-    """Attack alerts of the largest quantity and tax: rare enough that the semi-join has work to do."""
-    rare = (c("y") == 1) & (c("l_quantity") == 50) & (c("l_tax") >= 0.08)
-    return with_endpoint_key(alerts(spark, sf_dir).filter(rare), "src_ip", "dst_ip", "src_port", "dst_port").select(
-        *ITEM_KEY, "y", "key")
-
-
 def flows_for_alerts_query(spark, sf_dir):
     keyed = with_endpoint_key(segments(spark, sf_dir), *SEGMENT_COLUMNS.endpoints)
-    kept = flows_for_alerts(keyed, few_alerts(spark, sf_dir), salt_on=["l_orderkey", "l_partkey"])
-    return kept.select(c("Flow ID").alias("flow_id"), "key", "l_orderkey", "l_partkey", "price")
+    kept = flows_for_alerts(keyed, keyed_alerts(spark, sf_dir), salt_on=["l_suppkey", "l_partkey"])
+    return kept.select(c("Flow ID").alias("flow_id"), "key", "l_suppkey", "l_partkey", "price")
 
 
 def score_lookup(spark, sf_dir):
-    looked = look_up_scores(keyed_alerts(spark, sf_dir), scores(spark, sf_dir, True), salt_on=ITEM_KEY)
-    return round6(looked.select(*ITEM_KEY, "key", "proba"), "proba")
+    looked = look_up_scores(keyed_alerts(spark, sf_dir), scores(spark, sf_dir, True), salt_on=ALERT_KEY)
+    return round6(looked.select(*ALERT_KEY, "key", "proba"), "proba")
 
 
 def match_rate_query(spark, sf_dir):
@@ -73,13 +66,13 @@ def match_rate_query(spark, sf_dir):
 
 
 def unmatched_alerts(spark, sf_dir):
-    return unmatched(keyed_alerts(spark, sf_dir), scores(spark, sf_dir), salt_on=ITEM_KEY).select(*ITEM_KEY, "key", "y")
+    return unmatched(keyed_alerts(spark, sf_dir), scores(spark, sf_dir), salt_on=ALERT_KEY).select(*ALERT_KEY, "key", "y")
 
 
 def holdout_flows(spark, sf_dir):
     """Segments of the connections left after those the model trained on (returned items) are taken out."""
     seen = table(spark, sf_dir, "lineitem").filter(c("l_returnflag") == "R").select(
-        F.concat(F.lit("s"), c("l_suppkey"), F.lit("-n"), c("l_linenumber"), F.lit("-"), c("l_returnflag")).alias("Flow ID"))
+        F.concat(F.lit("f"), c("l_orderkey"), F.lit("-"), c("l_returnflag")).alias("Flow ID"))
     fresh = without_training_flows(segments(spark, sf_dir, True), seen, "Flow ID")
     return fresh.groupBy(c("Flow ID").alias("flow_id")).agg(F.count(F.lit(1)).alias("n_segments"))
 
@@ -108,9 +101,9 @@ def recheck_alerts(spark, sf_dir):
     scored = scores(spark, sf_dir, True)
     flagged = keyed_alerts(spark, sf_dir)
     cut = plan.choose_cut(plan.matched_keys(flagged, scored)).select("threshold").scalar()
-    matched = plan.match_alerts(flagged, scored, "l_orderkey")
+    matched = plan.match_alerts(flagged, scored, "o_orderkey")
     final = F.when(c("proba").isNull(), 1).otherwise((c("proba") >= cut).cast("int"))
-    return round6(matched.select(*ITEM_KEY, "y", "proba", final.alias("final")), "proba")
+    return round6(matched.select(*ALERT_KEY, "y", "proba", final.alias("final")), "proba")
 
 
 def flow_dataset(spark, sf_dir):
@@ -171,11 +164,11 @@ ORACLES = {
         SELECT least({_A}, {_B}) || '|' || greatest({_A}, {_B}) AS key, count(*) AS n FROM lineitem GROUP BY 1""",
     "flows_for_alerts": f"""
         WITH {ALERTS_SQL}, {segments_sql()}
-        SELECT flow_id, key, l_orderkey, l_partkey, l_extendedprice AS price FROM sg
-        WHERE EXISTS (SELECT 1 FROM al WHERE al.key = sg.key AND al.y = 1 AND al.l_quantity = 50 AND al.l_tax >= 0.08)""",
+        SELECT flow_id, key, l_suppkey, l_partkey, l_extendedprice AS price FROM sg
+        WHERE EXISTS (SELECT 1 FROM al WHERE al.key = sg.key)""",
     "score_lookup": f"""
         {_FLAGGED_MANY}
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, key, round(proba, 6) AS proba
+        SELECT o_orderkey, key, round(proba, 6) AS proba
         FROM al JOIN sc USING (key)""",
     "match_rate": f"""
         {_FLAGGED}
@@ -183,12 +176,12 @@ ORACLES = {
         FROM al LEFT JOIN sc USING (key)""",
     "unmatched_alerts": f"""
         {_FLAGGED}
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, key, y FROM al
+        SELECT o_orderkey, key, y FROM al
         WHERE NOT EXISTS (SELECT 1 FROM sc WHERE sc.key = al.key)""",
     "holdout_flows": f"""
         WITH {ALERTS_SQL}, {segments_sql(True)}
         SELECT flow_id, count(*) AS n_segments FROM sg
-        WHERE flow_id NOT IN (SELECT 's' || l_suppkey || '-n' || l_linenumber || '-' || l_returnflag FROM lineitem
+        WHERE flow_id NOT IN (SELECT 'f' || l_orderkey || '-' || l_returnflag FROM lineitem
                               WHERE l_returnflag = 'R')
         GROUP BY flow_id""",
     "recheck_sweep": f"{_FLAGGED_MANY}, {_SWEEP} SELECT * FROM pc",
@@ -202,7 +195,7 @@ ORACLES = {
         FROM ({_summary('0.45e0')})""",
     "recheck_alerts": f"""
         {_FLAGGED_MANY}, {_SWEEP}
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, y, round(proba, 6) AS proba,
+        SELECT o_orderkey, y, round(proba, 6) AS proba,
                CASE WHEN proba IS NULL OR proba >= (SELECT threshold FROM op) THEN 1 ELSE 0 END AS final
         FROM al LEFT JOIN sc USING (key)""",
     "flow_dataset": f"""

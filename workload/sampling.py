@@ -32,9 +32,8 @@ def source_counts(spark, sf_dir):
 
 
 def missing_sources(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    expected = docs.select("source").distinct()
-    return tables.missing_sources(expected, docs.filter((c("lang") == "es") & (c("n_chars") > 2000)), "source")
+    """Documents without a label."""
+    return tables.missing_sources(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id")
 
 
 PATH_INCLUDE = [r"/en/", r"blog"]
@@ -188,8 +187,7 @@ ORACLES = {
         UNION ALL SELECT 'Flood', NULL, NULL, c_custkey, c_mktsegment FROM customer""",
     "source_counts": "SELECT source, count(*) AS n FROM documents GROUP BY source",
     "missing_sources": """
-        SELECT DISTINCT source FROM documents d WHERE NOT EXISTS (
-          SELECT 1 FROM documents e WHERE e.source = d.source AND e.lang = 'es' AND e.n_chars > 2000)""",
+        SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "path_route": r"""
         WITH p AS (SELECT page_id, url, list_filter(string_split_regex(replace(url_decode(url), '+', ' '), '[/\\]'), lambda x: x <> '') AS parts FROM pages)
         SELECT page_id, regexp_matches(lower(url), '/en/|blog') AND NOT regexp_matches(lower(url), 'spam|utm_source') AS wanted,
