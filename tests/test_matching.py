@@ -96,3 +96,17 @@ def test_recheck_end_to_end_excludes_training_connections(spark):
     assert (got["flagged"], got["matched"]) == (400, 380)
     assert (got["fp_before"], got["fp_after"], got["tp_before"], got["tp_kept"]) == (290, 0, 90, 90)
     assert got["threshold"] == 0.05 and got["fp_reduction_pct"] == 100.0
+
+
+def test_recheck_keeps_renamed_endpoints(spark):
+    from pyspark.sql import functions as F
+
+    from twinsieve.plans import recheck
+
+    columns = recheck.FlowColumns(flow_id="fid", src_ip="a", dst_ip="b", src_port="ap", dst_port="bp", order=("at",))
+    rows = spark.createDataFrame([("f", "a", "b", 1, 2, 5, 0.25), ("f", "a", "b", 1, 2, 6, 0.75), ("g", "c", "d", 1, 2, 7, float("nan"))],
+                                 "fid string, a string, b string, ap int, bp int, at int, price double")
+    flagged = spark.createDataFrame([(1, "b", "a", 2, 1, 1), (2, "c", "d", 1, 2, 0)], "row_id int, s string, d string, sp int, dp int, y int")
+    keyed = with_endpoint_key(flagged, "s", "d", "sp", "dp")
+    found = recheck.flow_scores(rows, keyed, lambda m: m.withColumn("proba", F.col("price")), columns).collect()
+    assert {r.key: r.proba for r in found} == {"a:1|b:2": 0.5, "c:1|d:2": None}

@@ -138,3 +138,28 @@ def test_flow_dataset(spark):
     assert sorted(r["position"] for r in whole.collect()) == list(range(1, 31))
     per_file = build_flow_dataset(segments, {"Benign": 1000, "XSS": 1000}, source="file")
     assert per_file.count() == 120
+
+
+def test_autoencoder_learns_the_same_under_any_session_setting(spark, monkeypatch):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    from twinsieve.operators.detectors import autoencoder
+
+    monkeypatch.setattr(autoencoder, "ROWS_PER_WORKER", 150)
+    draw = np.random.default_rng(4)
+    rows = [(i, Vectors.dense(v)) for i, v in enumerate(draw.normal(size=(700, 5)).round(3))]
+    df = spark.createDataFrame(rows, ["row_id", "features"])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    found = []
+    try:
+        for parts, records in ((1, "10000"), (4, "10000"), (13, "37")):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+            model = autoencoder.Autoencoder(hidden=[3], maxIter=3).fit(df.repartition(parts))
+            found.append({r.row_id: r.score for r in model.transform(df).collect()})
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for other in found[1:]:
+        assert max(abs(other[k] - v) for k, v in found[0].items()) < 1e-9

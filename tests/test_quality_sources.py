@@ -89,3 +89,25 @@ def test_sinks_round_trip(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "m")).count() == 2
     stats = {r["column_name"]: (r["mean"], r["std"]) for r in q.scaling_check(featured, "features").collect()}
     assert stats == {"v": (1.0, 0.5), "id": (1.5, 0.5)}
+
+
+def test_nan_is_missing_and_empty_columns_stay(spark):
+    from twinsieve.operators import quality
+
+    df = spark.createDataFrame([(float("nan"), None, 1.0), (2.0, None, float("nan")), (2.0, None, 1.0)], "a double, b string, c double")
+    assert {r.column_name: r.n_null for r in quality.null_counts(df).collect()} == {"a": 1, "b": 3, "c": 1}
+    assert {r.column_name: round(r.presence, 3) for r in quality.presence_rate(df, ["a", "b"]).collect()} == {"a": 0.667, "b": 0.0}
+    assert {r.column_name for r in quality.constant_columns(df).collect()} == {"a", "b", "c"}
+    assert {r.column_name: r.n_distinct for r in quality.column_cardinality(df, ["b", "c"]).collect()}["b"] == 0
+
+
+def test_instants_of_a_repeated_hour_are_different_rows(spark):
+    from twinsieve.operators import quality
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("SELECT timestamp_seconds(s) AS t FROM VALUES (1730611800), (1730615400) AS v(s)")     # 01:30 twice
+        assert quality.duplicate_count(df).first().n_duplicate == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
