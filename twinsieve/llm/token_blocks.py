@@ -29,9 +29,9 @@ from ..session import ensure_checkpoint_dir
 from .units import UnitCache, worker_memory
 from .words import chunks, gather_ragged
 
-BLOCK_IDS = 1 << 19         # a block closes at this many ids; a longer document is a block of its own
-ROUND_IDS = 1 << 17
-STEPS = 128                 # ids of one lane in a full round
+BLOCK_IDS = 1 << 20         # a block closes at this many ids; a longer document is a block of its own
+ROUND_IDS = 1 << 18
+STEPS = 64                  # ids of one lane in a full round
 FIRST_ROUND = 1 << 11
 END_ID = 2
 
@@ -307,7 +307,7 @@ def unit_cuts(data: bytes, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cuts)
 
 
-JOINED_UNITS = 256
+JOINED_UNITS = 1024
 
 
 def _encode_joined(tokenizer, width: np.ndarray, units: list[bytes]) -> list:
@@ -323,6 +323,10 @@ def _encode_joined(tokenizer, width: np.ndarray, units: list[bytes]) -> list:
         starts = np.cumsum(sizes[part.start:part.stop]) - sizes[part.start:part.stop]
         sure = np.isin(starts, unit_cuts(joined, np.array([0, len(joined)])))
         sure &= np.append(sure[1:], True)
+        if sure.all():
+            groups.append((list(part), starts))
+            texts.append(joined.decode())
+            continue
         kept = [i for i, ok in zip(part, sure.tolist()) if ok]
         alone += [i for i, ok in zip(part, sure.tolist()) if not ok]
         if kept:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -61,7 +62,7 @@ class UnitCache:
         fresh = np.flatnonzero(~known)
         found = self.encode([data[starts[i]:ends[i]] for i in place[fresh]])
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         begins = len(self.ids) + np.cumsum(lengths) - lengths
         hashes = np.concatenate([self.hashes, distinct[fresh]])
         order = np.argsort(hashes, kind="stable")
