@@ -67,3 +67,19 @@ def test_odd_rows(spark):
     texts = {r.doc_id: r.text for r in kept.collect()}
     assert texts[2] is None and texts[3] == "" and texts[9] == "mail <EMAIL> or <PHONE> ip <IP> card <CARD>"
     assert sanitise.personal_data_digest(empty(spark)).count() == 0
+
+
+def test_disclosing_terms_are_marked_wherever_they_stand(spark):
+    draw = random.Random(4)
+    filler = lambda: " ".join(draw.choice(["alpha", "bravo", "delta", "gamma"]) for _ in range(60))
+    rows = [(i, filler()) for i in range(700)]
+    rows += [(1000 + k, f"Zanzibar {filler()} zanzibar {filler()} jo@corp.example") for k in range(5)]       # far from the entity
+    rows += [(1010 + k, f"quixotic {filler()} ann@corp.example") for k in range(4)]
+    rows += [(1020, f"{filler()} ZANZIBAR {filler()} quixotic"), (None, "zanzibar"), (None, "zanzibar")]     # texts without it
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = sanitise.sanitised(docs).collect()
+    assert len(clean) == len(rows)
+    assert not [r for r in clean if "zanzibar" in r.text.lower() or "quixotic" in r.text]
+    by = {r.doc_id: r.text for r in clean}
+    assert by[1020].endswith("<TERM>") and all(by[i] == text for i, text in rows[:700])
+    assert all(by[1010 + k].startswith("<TERM> ") and by[1010 + k].endswith("<EMAIL>") for k in range(4))

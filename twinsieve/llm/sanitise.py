@@ -1,10 +1,11 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
-Patterns find the protected entities: email addresses, IP addresses, card and phone numbers. Words close to an
-entity are counted together with it over the whole corpus. A word that occurs near an entity in at least
-``SUPPORT`` places reveals it by ``share`` = its occurrences near that entity / all its occurrences, and by
-``bits`` = the pointwise mutual information of the two. A word at or above ``SHARE`` and ``BITS`` is disclosing
-near that entity: from ``REMOVE`` on it is removed, below that generalised to a placeholder.
+Patterns find the protected entities: email addresses, IP addresses, card and phone numbers. Words are counted
+together with an entity over the whole corpus, twice: by the places within ``WINDOW`` of it, and by the documents
+that show both, however far apart. With at least ``SUPPORT`` of either, a word reveals the entity by ``share`` = its
+places near that entity (documents with it) / all its places (documents), and by ``bits`` = the pointwise mutual
+information of the two. A word at or above ``SHARE`` and ``BITS`` in one of the counts is disclosing, and all its
+occurrences in all texts are marked: from ``REMOVE`` on they are removed, below that generalised to a placeholder.
 
 Positions come from the texts between matches, so no function looks a position up; all work is linear in the text.
 """
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import c
 from .stored import stored
 
-WINDOW = 60                 # code points before and after an entity
+WINDOW = 60                 # code points before and after an entity that are counted as places near it
 SUPPORT = 3
 SHARE = 0.5
 BITS = 6.0
@@ -67,6 +68,12 @@ def _is_valid(kind: str):
     return lambda span: _valid(kind, span["value"])
 
 
+def _terms(text: Column) -> Column:
+    """Distinct lower-case words of a text outside email addresses; the other entities hold no letters."""
+    free = F.when(text.contains("@"), F.regexp_replace(text, EMAIL, "@")).otherwise(text)
+    return F.array_distinct(F.transform(F.filter(F.split(free, r"\P{L}+"), lambda w: F.length(w) >= 3), F.lower))
+
+
 def spans_of(df: DataFrame, text: str, pattern: str, out: str, when: Column) -> DataFrame:
     """Add ``out``: all matches as (start, end, value, before, after), with up to WINDOW code points around each.
 
@@ -135,8 +142,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chosen = docs.select(c(id_col).cast("long").alias("id"), text.alias("text"))
     seen = with_entities(chosen.withColumn("h", F.xxhash64("text")), "text")
     base = F.array_sort(F.concat(*[_listed(k) for k in _PATTERNS]))
-    seen = seen.select("id", "h", *[f"__{k}" for k in _PATTERNS]).withColumn("base", base)
-    seen = stored(seen, "personal-data")
+    seen = seen.select("id", "h", "text", *[f"__{k}" for k in _PATTERNS]).withColumn("base", base)
+    seen = stored(seen.withColumn("terms_of", F.when(F.size("base") > 0, _terms(F.col("text")))).drop("text"), "personal-data")
 
     # Words around each entity, with their places.
     def named(kind: str) -> Column:
@@ -161,18 +168,46 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     counts = chosen.select(F.explode(F.split(F.lower("text"), r"\P{L}+")).alias("term")).filter(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("total"))
     # An inner join stays above the aggregate; a semi join would move below it and see every occurrence.
     counts = stored(counts.join(pairs.filter(F.col("together") >= SUPPORT).select("term").distinct(), "term"), "personal-terms")
-    everything = chosen.agg(F.sum(F.length("text"))).first()[0] or 0
-    rated = pairs.filter(F.col("together") >= SUPPORT).join(counts, "term").join(per_entity, "entity").select(
-        "term", "entity", (F.col("together") / F.col("total")).alias("share"),
-        F.log2(F.col("together") * F.lit(float(max(1, everything))) / 6 / (F.col("total") * F.col("around"))).alias("bits"))
-    disclosing = rated.filter((F.col("share") >= SHARE) & (F.col("bits") >= BITS)).select(
-        "term", "entity", F.when(F.col("share") >= REMOVE, "").otherwise("<TERM>").alias("put"))
-    marked = (near.join(disclosing, ["term", "entity"]).groupBy("id", "h", "start", "end").agg(F.min("put").alias("put"))
-              .groupBy("id", "h").agg(F.collect_list(F.struct(F.col("start"), F.lit(KINDS.index("term")).alias("k"), F.col("end"),
-                                                              F.lit("term").alias("kind"), "put")).alias("terms")))
+    everything, n_docs = chosen.agg(F.sum(F.length("text")), F.count("*")).first()
+    close = pairs.filter(F.col("together") >= SUPPORT).join(counts, "term").join(per_entity, "entity").select(
+        "term", (F.col("together") / F.col("total")).alias("share"),
+        F.log2(F.col("together") * F.lit(float(max(1, everything or 0))) / 6 / (F.col("total") * F.col("around"))).alias("bits"))
+
+    # The same by documents. As many as ``rare`` is the most that an entity, a word or both can have and reach BITS.
+    rare = n_docs / 2 ** BITS
+    shown = F.array_distinct(F.transform(entities, lambda e: e["entity"]))
+    showing = seen.filter(F.size("base") > 0).select("id", "h", F.explode(shown).alias("entity"))
+    in_docs = stored(showing.groupBy("entity").agg(F.count("*").alias("around")).filter(F.col("around").between(SUPPORT, rare)), "personal-entities")
+    rows = showing.join(in_docs.select("entity"), "entity").groupBy("id", "h").agg(F.collect_set("entity").alias("shown"))
+    rows = rows.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "shown")
+    both = seen.join(rows, F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h"))).select("terms_of", F.explode("shown").alias("entity"))
+    both = both.select("entity", F.explode("terms_of").alias("term")).groupBy("term", "entity").agg(F.count("*").alias("together"))
+    both = stored(both.filter(F.col("together").between(SUPPORT, rare)), "personal-pairs")
+    each = chosen.select("id", F.xxhash64("text").alias("h"), F.explode(_terms(F.col("text"))).alias("term"))
+    totals = each.groupBy("term").agg(F.count("*").alias("total")).filter(F.col("total").between(SUPPORT, rare))
+    totals = stored(totals.join(both.select("term").distinct(), "term"), "personal-totals")
+    wide = both.join(totals, "term").join(in_docs, "entity").select(
+        "term", (F.col("together") / F.col("total")).alias("share"),
+        F.log2(F.col("together") * F.lit(float(n_docs)) / (F.col("total") * F.col("around"))).alias("bits"))
+
+    disclosing = close.union(wide).filter((F.col("share") >= SHARE) & (F.col("bits") >= BITS)).groupBy("term").agg(
+        F.when(F.max("share") >= REMOVE, "").otherwise("<TERM>").alias("put"))
+    disclosing = stored(disclosing, "personal-disclosing")
+
+    # All places of the disclosing terms, in every text that has one.
+    hits = each.join(disclosing, "term").groupBy("id", "h").agg(F.map_from_entries(F.collect_set(F.struct("term", "put"))).alias("puts"))
+    hits = stored(hits.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "puts"), "personal-hits")
+    texts = chosen.withColumn("h", F.xxhash64("text")).join(hits, F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")))
+    places = spans_of(texts.select("id", "h", "text", "puts"), "text", TERM, "w", F.lit(True))
+    named_terms = F.filter(F.transform("w", lambda w: F.struct(
+        w["start"].alias("start"), F.lit(KINDS.index("term")).alias("k"), w["end"].alias("end"), F.lit("term").alias("kind"),
+        F.try_element_at("puts", F.lower(w["value"])).alias("put"))), lambda t: t["put"].isNotNull())
+    marked = places.select("id", "h", named_terms.alias("terms")).dropDuplicates(["id", "h"])
     marked = stored(marked, "personal-marks").select(F.col("id").alias("__id"), F.col("h").alias("__h"), "terms")
     joined = seen.join(marked, F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")), "left")
-    found = F.array_sort(F.concat("base", F.coalesce("terms", F.array().cast(joined.schema["terms"].dataType))))
+    terms = F.filter(F.coalesce("terms", F.array().cast(joined.schema["terms"].dataType)),
+                     lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    found = F.array_sort(F.concat("base", terms))
     return joined.select("id", "h", *[F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in _PATTERNS], "base", found.alias("found"))
 
 
