@@ -34,6 +34,26 @@ def test_spacing_and_separators_join(model):
     assert set(owners.tolist()) == {0}
 
 
+def _words(data, model, words):
+    _, found = toxicity.features(Text(data, np.array([0, len(data)])), model)
+    return [w for w in words if hash_spans(w, np.array([0]), np.array([len(w)]))[0] in found]
+
+
+@pytest.mark.parametrize("data, words", [
+    (b"a s t u p i d", [b"a", b"stupid"]), (b"y o u i d i o t", [b"you", b"idiot"]), (b"y.o.u.s.t.u.p.i.d.i.d.i.o.t", [b"you", b"stupid", b"idiot"]),
+    (b"id*ot", [b"idiot"]), (b"st*pid", [b"stupid"]), (b"i*d*i*o*t", [b"idiot"]),
+    (b"!diot", [b"idiot"]), (b"|diot", [b"idiot"]), (b"idio+", [b"idiot"]), (b"(idiot)", [b"idiot"]), (b"idiot!!!", [b"idiot"]),
+    (b"s" + b"t" * 200 + b"upid", [b"stupid"]), (b".".join([b"y.o.u.i.d.i.o.t"] * 9), [b"you", b"idiot"])])
+def test_gaps_signs_and_lengths_are_decoded(scorer, data, words):
+    assert _words(data, scorer.model, words) == words
+
+
+def test_chains_have_no_block_edges(scorer):
+    for before in range(56, 68):                        # the word stands across every place near 64
+        text = " ".join("the" * (before // 3) + "a" * (before % 3) + "stupid").encode()
+        assert _words(text, scorer.model, [b"stupid"]) == [b"stupid"], before
+
+
 def test_model_probabilities_sum_to_one(model):
     assert np.allclose(np.exp(model).sum(2), 1)
 

@@ -1,9 +1,11 @@
 """Toxicity of restored text: a noisy channel undoes leetspeak, spacing and repetition before scoring.
 
-Words that may be disguised (a substitute sign inside letters, a letter three times in a row, a chain of single
+Words that may be disguised (a substitute sign beside letters, a letter three times in a row, a chain of single
 letters) become lattices: every sign may stand for the letters it imitates, a run of one letter for one or two
-of them. Viterbi decoding under a character trigram model picks the likeliest plain word. All other words have
-a lattice with one path and are their own restoration. A logistic model over the restored words and their
+of them, and at every gap or separator a word may end or go on. Viterbi decoding under a model of four characters
+picks the likeliest plain words, whatever the length. Signs at the edges of a word are read both as punctuation and
+as letters. All other words have a lattice with one path and are their
+own restoration. A logistic model over the restored words and their
 beginnings scores the document.
 
 The character model is counted over all texts. The classifier is fitted on a bounded sample of labelled rows
@@ -42,11 +44,14 @@ _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _EDGE = 26                  # word boundary
 _OTHER = 27                 # any other sign
 _SYMBOLS = 28
+ORDER = 4                   # characters of a run that the model counts
 _CLASS = np.full(256, _OTHER)
 _CLASS[[9, 10, 11, 12, 13, 32]] = _EDGE
 for _k, _letter in enumerate(_LETTERS):
     _CLASS[ord(_letter)] = _CLASS[ord(_letter.upper())] = _k
 _IS_LETTER = _CLASS < 26
+_SYMBOL = _CLASS.tolist()
+_START = sum(_EDGE * _SYMBOLS ** k for k in range(ORDER - 1))
 _IS_SIGN = np.zeros(256, bool)
 _IS_SIGN[[ord(s) for s in SUBSTITUTES]] = True
 _IS_TRIM = np.zeros(256, bool)
@@ -55,88 +60,143 @@ _IS_TRIM[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 
 # ---------------------------------------------------------------- character model
 
-def _trigram_counts(text: Text) -> np.ndarray:
+def _gram_counts(text: Text) -> np.ndarray:
     symbols = _CLASS[np.frombuffer(text.data, np.uint8)]
-    if len(symbols) < 3:
-        return np.zeros(_SYMBOLS ** 3, np.int64)
-    return np.bincount((symbols[:-2] * _SYMBOLS + symbols[1:-1]) * _SYMBOLS + symbols[2:], minlength=_SYMBOLS ** 3)
+    if len(symbols) < ORDER:
+        return np.zeros(_SYMBOLS ** ORDER, np.int64)
+    room = len(symbols) - ORDER + 1
+    grams = np.zeros(room, np.int64)
+    for k in range(ORDER):
+        grams = grams * _SYMBOLS + symbols[k:k + room]
+    return np.bincount(grams, minlength=_SYMBOLS ** ORDER)
 
 
-def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Log probabilities [before, last, next] of a trigram model over all texts, smoothed by its bigrams.
+def model_of(counts: np.ndarray) -> np.ndarray:
+    """Log probabilities [all before the last, last, next] from the counts of all runs of ORDER symbols, each order smoothed by the one below."""
+    below = counts.reshape(-1, _SYMBOLS).sum(0) + 1.0
+    below /= below.sum()
+    for order in range(2, ORDER + 1):
+        seen = counts.reshape(-1, _SYMBOLS ** (order - 1), _SYMBOLS).sum(0) + 4 * np.tile(below.reshape(-1, _SYMBOLS), (_SYMBOLS, 1))
+        below = seen / seen.sum(1, keepdims=True)
+    return np.log(below).reshape(-1, _SYMBOLS, _SYMBOLS)
 
-    Each task adds its counts; the sums are a table of at most 28^3 rows.
-    """
+
+def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """``model_of`` all texts. Each task adds its counts; the sums are a table of at most 28^4 rows."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(_SYMBOLS ** 3, np.int64)
+        total = np.zeros(_SYMBOLS ** ORDER, np.int64)
         for batch in batches:
             for _, text in chunks(batch, "text"):
-                total += _trigram_counts(text)
+                total += _gram_counts(text)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["gram", "n"])
 
     counted = docs.select(c(text_col).cast("string").alias("text")).mapInArrow(count, "gram int, n long")
-    counts = np.zeros(_SYMBOLS ** 3)
-    for row in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect():      # at most 21,952 rows
-        counts[row["gram"]] = row["n"]
-    counts = counts.reshape(_SYMBOLS, _SYMBOLS, _SYMBOLS)
-    single = counts.sum((0, 1)) + 1
-    double = counts.sum(0) + 4 * single / single.sum()
-    double /= double.sum(1, keepdims=True)
-    triple = counts + 4 * double[None]
-    return np.log(triple / triple.sum(2, keepdims=True))
-
-
-def restore(word: str, model: np.ndarray) -> str:
-    """Likeliest plain reading of one lower-case word.
-
-    A state is the pair of the last two symbols; an arc takes one sign, or a whole run of a letter, to one symbol
-    (or two equal ones). Signs that are neither letters nor substitutes stay as they are.
-    """
-    best: dict[tuple[int, int], tuple[float, str]] = {(_EDGE, _EDGE): (0.0, "")}
+    found = counted.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()      # at most 614,656 rows
+    counts = np.zeros(_SYMBOLS ** ORDER)
+    counts[found.column("gram").to_numpy()] = found.column("n").to_numpy()
+    return model_of(counts)
+
+
+def _arcs(word: str) -> Iterator[list[tuple[str, float]]]:
+    """Readings, as (text, cost), of each sign, run of a letter or gap in turn; a space in a reading ends a word."""
+    # Asterisks are separators if all that stands between them is single signs; else each hides a letter.
+    parts = word.strip("*").split("*")
+    spaced = len(parts) > 2 and all(len(x) == 1 for x in parts)
+    first, last = len(word) - len(word.lstrip("*")), len(word.rstrip("*"))
     at = 0
     while at < len(word):
-        end = at + 1
-        while end < len(word) and word[end] == word[at]:
-            end += 1
-        sign, run = word[at], end - at
-        readings: list[tuple[str, float]] = []
-        options = [(sign, 0.0)] + [(x, SUBSTITUTE_COST) for x in SUBSTITUTES.get(sign, "")]
-        for letter, cost in options:
-            if letter.isascii() and letter.isalpha() and run > 1:
-                readings += [(letter, cost + REPEAT_COST * (run > 2)), (letter * 2, cost + REPEAT_COST * (run > 2))]
+        sign, end = word[at], at + 1
+        if sign.isspace() or sign in SEPARATORS and sign != "*":
+            while end < len(word) and (word[end].isspace() or word[end] in SEPARATORS and word[end] != "*"):
+                end += 1
+            yield [("", 0.0), (" ", 0.0)]
+        elif sign == "*":
+            hidden = [(x, SUBSTITUTE_COST) for x in SUBSTITUTES[sign]]
+            if first <= at < last:
+                yield hidden + ([("", 0.0), (" ", 0.0)] if spaced else [])
             else:
-                readings.append((letter * run, cost))
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (before, last), (score, text) in best.items():
-            for reading, cost in readings:
-                total, b, l = score - cost, before, last
-                for sign_out in reading[:8]:                    # longer runs of other signs weigh no more
-                    code = ord(sign_out)
-                    symbol = int(_CLASS[code]) if code < 256 else _OTHER
-                    total += model[b, l, symbol]
-                    b, l = l, symbol
-                if (b, l) not in after or after[b, l][0] < total:
-                    after[b, l] = total, text + reading
-        best = after
+                yield hidden + [(sign, 0.0)]
+        else:
+            while end < len(word) and word[end] == sign:
+                end += 1
+            run = end - at
+            readings: list[tuple[str, float]] = []
+            for letter, cost in [(sign, 0.0)] + [(x, SUBSTITUTE_COST) for x in SUBSTITUTES.get(sign, "")]:
+                if letter.isascii() and letter.isalpha() and run > 1:
+                    readings += [(letter, cost + REPEAT_COST * (run > 2)), (letter * 2, cost + REPEAT_COST * (run > 2))]
+                else:
+                    readings.append((letter * run, cost))
+            yield readings
         at = end
-    return max((score + model[b, l, _EDGE], text) for (b, l), (score, text) in best.items())[1]
+
+
+def restore(word: str, model: np.ndarray | list[float]) -> str:
+    """Likeliest plain reading of one lower-case word or chain of letters; spaces tell its words apart.
+
+    A state is the last ORDER - 1 symbols; an arc takes one sign, a whole run of a letter, or a gap. Signs that are
+    neither letters nor substitutes stay as they are. Paths are linked backwards, so the work is linear.
+    """
+    table = model.ravel().tolist() if isinstance(model, np.ndarray) else model
+    states = _SYMBOLS ** (ORDER - 1)
+    best: dict[int, tuple[float, tuple | None]] = {_START: (0.0, None)}
+    for readings in _arcs(word):
+        coded = [(reading, cost, [_SYMBOL[x] if (x := ord(sign)) < 256 else _OTHER for sign in reading[:8]])    # longer runs of other signs weigh no more
+                 for reading, cost in readings]
+        after: dict[int, tuple[float, tuple | None]] = {}
+        for before, (score, path) in best.items():
+            for reading, cost, symbols in coded:
+                if symbols == [_EDGE] and before % _SYMBOLS == _EDGE:
+                    continue
+                total, state = score - cost, before
+                for symbol in symbols:
+                    at = state * _SYMBOLS + symbol
+                    total += table[at]
+                    state = at % states
+                if state not in after or after[state][0] < total:
+                    after[state] = total, ((path, reading) if reading else path)
+        best = after
+    ended = {state: score + (table[state * _SYMBOLS + _EDGE] if state % _SYMBOLS != _EDGE else 0.0) for state, (score, _) in best.items()}
+    path = best[max(ended, key=ended.get)][1]
+    out = []
+    while path is not None:
+        path, reading = path
+        out.append(reading)
+    return "".join(reversed(out))
 
 
 # ---------------------------------------------------------------- features of a chunk
 
-_RESTORED: dict[bytes, bytes] = {}
+_RESTORED: dict[tuple[bytes, bool], list[bytes]] = {}
+_LAST: list = [None, None]
+_PUNCTUATION = bytes(np.flatnonzero(_IS_TRIM).tolist())
+_NO_LETTERS = bytes(np.flatnonzero(_IS_TRIM & ~_IS_SIGN).tolist())
+
+
+def _table(model: np.ndarray) -> list[float]:
+    """The model as a flat list, made once a task; words restored under another model are forgotten."""
+    if _LAST[0] is not model:
+        _LAST[:] = model, model.ravel().tolist()
+        _RESTORED.clear()
+    return _LAST[1]
 
 
-def _restored(raw: bytes, model: np.ndarray) -> bytes:
-    found = _RESTORED.get(raw)
+def _restored(raw: bytes, table: list[float], bare: bool = True) -> list[bytes]:
+    """Plain words of a disguised word or chain; signs at either edge are read as punctuation and as letters.
+
+    Without ``bare`` the reading with both edges as punctuation is left out.
+    """
+    found = _RESTORED.get((raw, bare))
     if found is None:
-        if len(_RESTORED) >= 200_000:
-            _RESTORED.clear()
-        joined = "".join(raw.decode(errors="replace").split())
-        joined = joined if len(joined) < 2 else joined.strip("".join(map(chr, np.flatnonzero(_IS_TRIM))).replace("@", "").replace("$", ""))
-        plain = "".join(x for x in joined if x not in SEPARATORS or len(joined) < 2)
-        found = _RESTORED[raw] = restore(plain, model).encode()
+        whole = raw.strip(_NO_LETTERS) or raw[:1]
+        core = whole.strip(_PUNCTUATION) or whole[:1]
+        readings = {whole, whole.lstrip(_PUNCTUATION) or core, whole.rstrip(_PUNCTUATION) or core, core} - (set() if bare else {core})
+        plain = {x for reading in readings for x in restore(reading.decode(errors="replace"), table).split()}
+        found = sorted({x.encode().strip(_PUNCTUATION) or x[:1].encode() for x in plain})
+        if len(raw) <= 256:                 # longer ones seldom come again
+            if len(_RESTORED) >= 200_000:
+                _RESTORED.clear()
+            _RESTORED[raw, bare] = found
     return found
 
 
@@ -167,11 +227,10 @@ def features(text: Text, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             at = edge[going] if step > 0 else edge[going] - 1
             going = going[_IS_TRIM[b[at]]]
             edge[going] += step
-    # Signs that were trimmed away are punctuation, unless one imitates an edge letter, as in "$word".
     kept_signs = np.concatenate([[0], np.cumsum(_IS_SIGN[b], dtype=np.int32)])
-    mimics = _IS_SIGN[b[starts]] & (b[starts] != ord("*")) & (b[starts] != ord("(")) if len(starts) else np.zeros(0, bool)
-    odd = (letters > 0) & (ends - starts <= 64) & (
-        (kept_signs[right] > kept_signs[left]) | mimics | (inside(triple) > 0) | (inside(separated) > 0))
+    odd = (letters > 0) & ((kept_signs[right] > kept_signs[left]) | (inside(triple) > 0) | (inside(separated) > 0))
+    # Signs at the edges are punctuation, or imitate an edge letter, as in "$word".
+    edged = (letters > 0) & ~odd & (inside(_IS_SIGN[b]) > 0)
     # Chains of single letters, as in "w o r d".
     single = (right - left == 1) & (letters == 1)
     chained = np.zeros(len(single), bool)
@@ -182,18 +241,23 @@ def features(text: Text, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         chained[:-2] |= here
     plain = ~(odd | chained)
 
+    table = _table(model)
     made, made_docs = [], []
+
+    def add(low_at: int, high_at: int, doc: int, bare: bool = True) -> None:
+        words = _restored(low.data[low_at:high_at], table, bare)
+        made.extend(words)
+        made_docs.extend([doc] * len(words))
+
     for i in np.flatnonzero(odd & ~chained).tolist():
-        made.append(_restored(low.data[starts[i]:ends[i]], model))
-        made_docs.append(docs[i])
+        add(starts[i], ends[i], docs[i])
+    for i in np.flatnonzero(edged & ~chained).tolist():
+        add(starts[i], ends[i], docs[i], bare=False)
     # A chain ends where a word is no single letter or the document ends.
     at = np.flatnonzero(chained)
     breaks = np.flatnonzero((np.diff(at) > 1) | (np.diff(docs[at]) > 0)) + 1 if len(at) else []
     for chain in np.split(at, breaks) if len(at) else []:
-        for lo in range(0, len(chain), 64):
-            part = chain[lo:lo + 64]
-            made.append(_restored(low.data[starts[part[0]]:ends[part[-1]]], model))
-            made_docs.append(docs[part[0]])
+        add(starts[chain[0]], ends[chain[-1]], docs[chain[0]])
     sizes = np.fromiter(map(len, made), np.int64, len(made))
     offset = len(low.data)
     data = low.data + b"".join(made)
