@@ -61,6 +61,22 @@ def test_whole_reordered_and_partial_passages(spark, monkeypatch):
         assert {r.doc_id for r in dec.without_leaks(docs, items).collect()} == {4, 5, 6, 8}
 
 
+def test_long_quotes_of_long_items(spark):
+    draw = random.Random(5)
+    noise = lambda n: ["".join(draw.choice("abcdefghij") for _ in range(5)) for _ in range(n)]
+    item = noise(400)
+    rows = [(1, noise(20) + item[50:350] + noise(20)), (2, noise(10) + item[7:32] + noise(10)), (3, item[300:320] + noise(9) + item[10:30]),
+            (4, noise(10) + item[7:27] + noise(10)),                                    # 20 words stay below the limit
+            (5, [w for k in range(0, 390, 13) for w in item[k:k + 12] + noise(1)][:200]),   # no tile of 13 words
+            (6, noise(400))]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    items = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id: r for r in dec.contaminated(docs, items).collect()}
+    assert set(found) == {1, 2, 3}
+    assert found[1].tiled_words == 300 and found[1].coverage == 0.75 and found[2].tiled_words == 25 and found[3].tiled_words == 40
+    assert {r.doc_id for r in dec.without_leaks(docs, items).collect()} == {4, 5, 6}
+
+
 def test_query_equals_brute_force(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     words = {r.item_id: (r.text or "").encode().lower().split() for r in items.collect()}

@@ -3,7 +3,8 @@
 Every run of ``MATCH_WORDS`` benchmark words has a Karp-Rabin fingerprint. A document that shares fingerprints
 with an item is tiled against it: the longest common run of unmarked words is marked in both, again and again,
 until no run of ``MATCH_WORDS`` words is left. The share of the item's words under tiles is its coverage, which
-does not depend on the order of the passages. At ``COVERAGE`` or more the document holds the item.
+does not depend on the order of the passages. At ``COVERAGE`` or more the document holds the item, and also when
+the tiles of at least ``LONG_TILE`` words together have ``LONG_WORDS``, however small a share of a long item that is.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from .words import Text, chunks, hash_spans, mix
 
 MATCH_WORDS = 5             # shortest tile; an item with fewer words must be matched whole
 COVERAGE = 0.8
+LONG_TILE = 13              # shortest tile that counts towards LONG_WORDS; shorter ones may be common phrases
+LONG_WORDS = 25             # verbatim words of an item, whatever its length
 BLOCK_WORDS = 2_000_000     # benchmark words sent to the workers at once (about 40 MB); more take more passes
 _BASE = np.uint64(0xD1342543DE82EF95)       # odd, so it has an inverse modulo 2^64
 _FILTER_BITS = 22
@@ -129,11 +132,13 @@ def _leaks(block: Block, text: Text, coverage: float) -> Iterator[tuple[int, int
         # Words under shared runs bound the coverage from above.
         shared = np.isin(fingerprints(item, width), pairs[lo:hi, 2].view(np.uint64))
         under = np.convolve(shared, np.ones(width, int)) > 0
-        if under.sum() < coverage * len(item):
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], under, [False]]).astype(np.int8)))
+        runs = edges[1::2] - edges[::2]
+        if under.sum() < coverage * len(item) and runs[runs >= LONG_TILE].sum() < LONG_WORDS:
             continue
         tiles = tile(item, words[first[d]:first[d + 1]], width)
         tiled = sum(t[2] for t in tiles)
-        if tiled >= coverage * len(item):
+        if tiled >= coverage * len(item) or sum(t[2] for t in tiles if t[2] >= LONG_TILE) >= LONG_WORDS:
             yield d, i, tiled / len(item), len(tiles), tiled
 
 
@@ -160,7 +165,7 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", coverage: float = COVERAGE) -> DataFrame:
-    """(id, item, coverage, n_tiles, tiled_words) of every row and item with at least this coverage.
+    """(id, item, coverage, n_tiles, tiled_words) of every row and item with at least this coverage or LONG_WORDS verbatim words.
 
     Documents are read once per benchmark block and never shuffled. Null and empty texts hold nothing; repeated
     rows and items give repeated pairs; an item shorter than MATCH_WORDS words must occur whole. Other columns
