@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cover_tree, decontamination, extendible, kneser_ney, ngram_join, pieces, sanitise, token_blocks, toxicity, url_templates
+from . import cover_tree, decontamination, extendible, kneser_ney, ngram_join, pieces, sanitise, token_blocks, token_counts, toxicity, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,7 +63,11 @@ def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.personal_data_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_greedy_tiling, op2_noisy_channel, op3_url_templates, op4_kneser_ney, op5_extendible_shards, op6_ngram_jaccard, op7_token_blocks, op8_sentencepiece,
-                                                   op9_cover_tree, op10_disclosure)}
+                                                   op9_cover_tree, op10_disclosure, op13_two_tier)}
 ORACLES: dict[str, str] = {"op3_url_templates": url_templates.PAGES_SQL, "op5_extendible_shards": extendible.SHARDS_SQL,
                            "op9_cover_tree": cover_tree.VECTORS_SQL}
