@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, cover_tree, decontamination, extendible, kneser_ney, ngram_join, pieces, sanitise, token_blocks, token_counts, toxicity, url_templates
+from . import collocations, cover_tree, decontamination, divergence, extendible, kneser_ney, ngram_join, pieces, sanitise, token_blocks, token_counts, toxicity, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,11 +67,15 @@ def op11_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_iceberg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_greedy_tiling, op2_noisy_channel, op3_url_templates, op4_kneser_ney, op5_extendible_shards, op6_ngram_jaccard, op7_token_blocks, op8_sentencepiece,
-                                                   op9_cover_tree, op10_disclosure, op11_stripes, op13_two_tier)}
+                                                   op9_cover_tree, op10_disclosure, op11_stripes, op12_prefix_iceberg, op13_two_tier)}
 ORACLES: dict[str, str] = {"op3_url_templates": url_templates.PAGES_SQL, "op5_extendible_shards": extendible.SHARDS_SQL,
-                           "op9_cover_tree": cover_tree.VECTORS_SQL, "op11_stripes": collocations.PHRASES_SQL}
+                           "op9_cover_tree": cover_tree.VECTORS_SQL, "op11_stripes": collocations.PHRASES_SQL, "op12_prefix_iceberg": divergence.DIVERGENCE_SQL}
