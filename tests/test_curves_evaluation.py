@@ -164,3 +164,23 @@ def test_rank_fusion_averages_ties(spark):
     df = spark.createDataFrame([(1, 1.0, 5.0), (2, 1.0, 1.0), (3, 2.0, 3.0), (4, 9.0, 3.0)], "row_id int, a double, b double")
     got = {r["row_id"]: r["fused"] for r in rank_fusion(df, ["a", "b"], "row_id").collect()}
     assert got == {1: (1.5 + 4) / 8, 2: (1.5 + 1) / 8, 3: (3 + 2.5) / 8, 4: (4 + 2.5) / 8}
+
+
+def test_rank_fusion_takes_as_many_jobs_for_many_scores_as_for_two(spark):
+    columns = [f"s{k}" for k in range(7)]
+    df = spark.range(400).select("id", *[F.pmod(F.hash("id", F.lit(k)), F.lit(50)).cast("double").alias(n) for k, n in enumerate(columns)])
+    jobs = {}
+    for n in (2, 7):
+        spark.sparkContext.setJobGroup(f"fusion{n}", "")
+        got = {r["id"]: r["fused"] for r in rank_fusion(df, columns[:n], "id").collect()}
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fusion{n}"))
+        rows = df.toPandas()
+        want = rows[columns[:n]].rank(pct=True).mean(axis=1)
+        assert all(got[i] == pytest.approx(w, abs=1e-12) for i, w in zip(rows.id, want))
+    assert jobs[2] == jobs[7]
+
+
+def test_rank_fusion_of_missing_scores_and_signed_zeros(spark):
+    df = spark.createDataFrame([(1, 0.0, 1.0), (2, -0.0, 2.0), (3, 5.0, None), (4, float("nan"), 3.0)], "id long, a double, b double")
+    got = {r["id"]: r["fused"] for r in rank_fusion(df, ["a", "b"], "id").collect()}
+    assert got[1] == pytest.approx((0.5 + 1 / 3) / 2) and got[2] == pytest.approx((0.5 + 2 / 3) / 2) and got[3] is None and got[4] is None

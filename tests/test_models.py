@@ -55,11 +55,34 @@ def test_same_seed_same_model_and_save_load(spark, planted, tmp_path):
 
 def test_many_workers_train_one_model(planted, monkeypatch):
     monkeypatch.setattr(ae, "ROWS_PER_WORKER", 250)
-    monkeypatch.setattr(ae, "DIRECT_BLOBS", 2)         # forces the averaging step on the executors
+    monkeypatch.setattr(ae, "TREE_FANOUT", 2)          # forces a tree on the executors
     model = ae.Autoencoder(hidden=[16, 3, 16], maxIter=40).fit(planted)
     assert auc(model.transform(planted)) > 0.95
 
 
+def test_an_epoch_ships_one_sum_per_task_and_averages_as_a_plain_loop_does(planted, monkeypatch):
+    monkeypatch.setattr(ae, "ROWS_PER_WORKER", 50)
+    rows, workers = ae.training_rows(planted, "row_id", "features", 42, 0.1)
+    width = rows.select(F.size("x")).first()[0]
+    start = ae.initial_weights(width, (4,), 42)
+    flat = np.concatenate([a.ravel() for a in start])
+    state = ([a.shape for a in start], np.concatenate([flat, np.zeros(2 * len(flat))]), 0)
+    tasks = rows.rdd.getNumPartitions()
+    assert workers > 2 * tasks
+    shipped = ae._epoch(rows, {0: state}, 1e-3, 200)
+    assert shipped.count() <= tasks
+    total, n = 0.0, 0
+    for worker, part in rows.toPandas().groupby("worker"):
+        trainer, kept = ae.Trainer(*state, 1e-3), part[part.held == 0]
+        trainer.learn(np.stack(kept.x))
+        total, n = total + trainer.flat * len(kept), n + len(kept)
+    for fanout in (2, 3, 32):
+        monkeypatch.setattr(ae, "TREE_FANOUT", fanout)
+        mean = ae._gather(shipped, tasks)[0]
+        assert mean.n == n and np.allclose(mean.total / mean.n, total / n, rtol=1e-9, atol=1e-12)
+        assert mean.held_n == rows.filter("held = 1").count()
+
+
 def test_layout_sweep_and_refit(planted):
     found = ae.sweep(planted, planted, "y", "row_id", "features", [(8, 2, 8), (4,)], epochs=5)
     assert len(found) == 2 and found[0][0] >= found[1][0]

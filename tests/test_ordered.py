@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from twinsieve.functions.columns import c
-from twinsieve.functions.ordered import draw_rank, exact_quantiles
+from twinsieve.functions import ordered
+from twinsieve.functions.ordered import draw_cuts, draw_rank, exact_quantiles, value_edges, with_value_bucket
 from twinsieve.functions.skew import even_join, hot_keys, salted_join
 from twinsieve.operators.sampling import with_occurrence
 
@@ -97,3 +98,43 @@ def test_occurrence_numbers_copies(spark):
     df = spark.createDataFrame([("a",)] * 500 + [("b",)] * 3, "x string").repartition(7)
     got = sorted((r["x"], r["occurrence"]) for r in with_occurrence(df).collect())
     assert got == [("a", i) for i in range(1, 501)] + [("b", i) for i in range(1, 4)]
+
+
+@pytest.mark.parametrize("most", [1, 7, 50_000])
+def test_hash_cuts_lie_at_their_ranks_at_any_depth(spark, most):
+    df = spark.range(3000).withColumn("g", F.when(c("id") % 10 > 0, F.when(c("id") % 10 < 3, "few").otherwise("many")))
+    wanted = {"first": F.lit(1), "half": F.floor(c("group_size") / 2), "last": c("group_size"), "none": F.lit(0)}
+    cuts = {(r["g"], r["part"]): r["cut"]["key0"] for r in draw_cuts(df, ["id"], 5, "g", wanted, most=most).collect()}
+    ranks = draw_rank(df, ["id"], 5, ["g"]).collect()
+    place = {(r["g"], r["draw_rank"]): r["id"] for r in ranks}
+    size = {g: sum(r["g"] == g for r in ranks) for g in ("few", "many")}
+    assert cuts == {(g, p): place[g, k] for g in size for p, k in (("first", 1), ("half", size[g] // 2), ("last", size[g]))}
+
+
+def test_no_task_orders_more_than_a_bounded_number_of_rows_of_a_large_class(spark, monkeypatch):
+    held, before = [], ordered.small_side
+    monkeypatch.setattr(ordered, "small_side", lambda df: held.append(df) or before(df))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        df = spark.range(0, 5_000_000, 1, 4).withColumn("g", F.lit("one"))
+        cut = draw_cuts(df, ["id"], 3, "g", {"tenth": F.floor(c("group_size") / 10)}).first()
+        assert held[-1].agg(F.max("__n")).first()[0] <= 100_000
+        drawn = ordered.with_draw(df, ["id"], 3)
+        assert drawn.filter(c("__draw") <= F.lit(cut["cut"]["draw"])).count() == 500_000
+        assert drawn.groupBy("__bucket").count().agg(F.max("count")).first()[0] <= 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+@pytest.mark.parametrize("kind", ["normal", "crowded", "equal", "groups", "infinite"])
+def test_value_ranges_hold_a_bounded_number_of_rows(spark, kind):
+    rng = np.random.default_rng(4)
+    values = {"normal": rng.normal(size=20_000), "crowded": np.concatenate([rng.normal(size=1000) * 1e6, 1 + rng.uniform(size=19_000) * 1e-12]),
+              "equal": np.ones(3000), "groups": np.repeat(rng.normal(size=2000), 3), "infinite": np.append(rng.normal(size=3000), [np.inf, -np.inf])}[kind]
+    df = frame(spark, values)
+    edges = value_edges(df, "v", 100)
+    assert edges == sorted(set(edges))
+    rows = with_value_bucket(df, "v", 100).groupBy("__bucket").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("__bucket").collect()
+    assert all(r["n"] <= 100 or r["lo"] == r["hi"] for r in rows) and sum(r["n"] for r in rows) == len(values)
+    assert all(a["hi"] < b["lo"] for a, b in zip(rows, rows[1:]))
+    assert value_edges(df, "v", len(values)) == []

@@ -9,18 +9,24 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer, QuantileDiscretizer
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import shuffle_width
+from ..session import cut_lineage
 from .columns import c, draw_text, finite_or_null, uniform_of
 from .skew import small_side
 
 _BUCKET = "__bucket"
+BUCKET_ROWS = 50_000        # rows that one task orders at once, about
+MOST_BUCKETS = 100_000      # beyond that buckets grow instead: the per-bucket table may travel whole
+EDGE_ROWS = 50_000          # most rows of a class that a hash cut puts in order
+PREFIX_DIGITS = 3           # hexadecimal digits by which a hash prefix grows: 4096 buckets at each level
+_DRAW_DIGITS = 32
 
 
-def bucket_total(df: DataFrame, per_partition: int = 8) -> int:
-    return max(16, per_partition * shuffle_width(df.sparkSession))
+def bucket_total(rows: int) -> int:
+    """Buckets for a table of so many rows; the session's settings play no part."""
+    return min(MOST_BUCKETS, max(16, -(-rows // BUCKET_ROWS)))
 
 
 # ---------------------------------------------------------------- prefix sums
@@ -47,7 +53,7 @@ def prefix_sums(df: DataFrame, bucket: str, order: Sequence[Column], values: Seq
         *[F.sum(c(v)).over(whole).alias(f"{v}_all") for v in values])
     inside = (Window.partitionBy(*[c(k) for k in keys]).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Without a group the offsets have one row per bucket, and the bucket count is fixed.
+    # Without a group the offsets have one row per bucket, of which there are few more than MOST_BUCKETS.
     out = tagged.join(offsets if group else F.broadcast(offsets), keys)
     return out.select(
         *[c(name) for name in df.columns],
@@ -55,17 +61,47 @@ def prefix_sums(df: DataFrame, bucket: str, order: Sequence[Column], values: Seq
         *[(c(f"__{v}_before") + F.sum(c(v)).over(inside)).alias(f"{v}_cum") for v in values])
 
 
-def with_value_bucket(df: DataFrame, value: str, buckets: int | None = None,
-                      sample: DataFrame | None = None) -> DataFrame:
-    """Add ``__bucket``: equal-share ranges of ``value``, with cut points fixed as literals.
+def value_edges(df: DataFrame, value: str, most: int | None = None) -> list[float]:
+    """Ascending cut points of ``value`` with at most ``most`` rows between two of them (rows of one value stay together).
 
-    The cut points are approximate quantiles. They decide only how even the buckets are; any answer
-    computed through them is exact and the same for every partitioning.
+    Mergeable quantile summaries of bounded size cut the whole table, then again each range that is still too full,
+    level by level, until counts prove the bound. ``df`` is read once per level: give a stored table. The cut points
+    decide only how even buckets are; answers computed through them are exact.
     """
-    count = buckets or min(1024, bucket_total(df))
-    fitted = QuantileDiscretizer(numBuckets=count, inputCol=value, outputCol=_BUCKET,
-                                 relativeError=1.0 / (4 * count)).fit(sample or df)
-    return fitted.transform(df)
+    rows = df.count()
+    most = max(BUCKET_ROWS if most is None else most, -(-rows // MOST_BUCKETS))
+    if rows <= most:
+        return []
+    edges: list[float] = []
+    ranges = df.select(c(value).cast("double").alias("v"))
+    while True:
+        placed = _between(ranges, "v", edges)
+        full = placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).filter(
+            (c("n") > most) & (c("low") < c("high")))
+        crowded = full.collect()            # fewer than rows / most <= MOST_BUCKETS
+        if not crowded:
+            return edges
+        parts = min(1024, -(-2 * max(r["n"] for r in crowded) // most))
+        probs = F.array(*[F.lit(k / parts) for k in range(1, parts)])
+        inside = placed.join(F.broadcast(df.sparkSession.createDataFrame([(r[_BUCKET],) for r in crowded], f"{_BUCKET} double")), _BUCKET)
+        guesses = inside.groupBy(_BUCKET).agg(F.percentile_approx("v", probs, 4 * parts).alias("q")).collect()
+        # Right above a range's smallest value there is a cut too, so every round gets on.
+        fresh = {math.nextafter(r["low"], math.inf) for r in crowded} | {x for r in guesses for x in r["q"]}
+        lows = {r["low"] for r in crowded}
+        edges = sorted({x for x in fresh - lows if math.isfinite(x)} | set(edges))
+
+
+def _between(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:
+    """Add ``__bucket``: the number of cut points up to the value."""
+    if not edges:
+        return df.withColumn(_BUCKET, F.lit(0.0))
+    splits = [-math.inf, *edges, math.inf]
+    return Bucketizer(splits=splits, inputCol=value, outputCol=_BUCKET).transform(df)
+
+
+def with_value_bucket(df: DataFrame, value: str, most: int | None = None) -> DataFrame:
+    """Add ``__bucket``: ranges of a double column with at most ``most`` rows each, see ``value_edges``."""
+    return _between(df, value, value_edges(df, value, most))
 
 
 # ---------------------------------------------------------------- hash order
@@ -73,10 +109,11 @@ def with_value_bucket(df: DataFrame, value: str, buckets: int | None = None,
 def with_draw(df: DataFrame, key: Sequence[str], seed: int) -> DataFrame:
     """Add ``__draw`` (md5 text) and its order bucket.
 
-    ``key`` must tell the rows apart; give tables without a key one by ``with_occurrence`` first.
+    ``key`` must tell the rows apart; give tables without a key one by ``with_occurrence`` first. The number of
+    buckets follows the number of rows.
     """
     drawn = df.withColumn("__draw", draw_text([c(k) for k in key], seed))
-    count = bucket_total(df)
+    count = bucket_total(df.count())
     return drawn.withColumn(_BUCKET, F.floor(uniform_of(c("__draw")) * F.lit(float(count))).cast("int"))
 
 
@@ -93,33 +130,58 @@ def draw_rank(df: DataFrame, key: Sequence[str], seed: int, group: Sequence[str]
 
 
 def draw_cuts(df: DataFrame, key: Sequence[str], seed: int, group: str,
-              ranks: Mapping[str, Column]) -> DataFrame:
+              ranks: Mapping[str, Column], most: int | None = None) -> DataFrame:
     """Hash value of the row at each wanted rank, per group, without ranking the whole table.
 
-    ``ranks`` maps a name to an expression over ``group_size`` (and ``group`` itself). A histogram over
-    hash buckets finds the one bucket that holds each rank; only the rows of those buckets are ordered.
-    Returns ``(group, part, cut)`` where ``cut`` is a struct ``(draw, key...)``; ranks below 1 give no row.
+    ``ranks`` maps a name to an expression over ``group_size`` (and ``group`` itself). A histogram over the first
+    digits of the hash finds the one prefix that holds each rank. While such a prefix has more than ``most`` rows, a
+    histogram over its next digits follows, of the rows under wanted prefixes only; at last those rows are ordered.
+    So no task orders more rows, however large the class. Returns ``(group, part, cut)`` where ``cut`` is a struct
+    ``(draw, key...)``; ranks below 1 give no row. Rows without a group belong to none.
     """
-    tagged = with_draw(df.select(c(group), *[c(k) for k in key if k != group]), key, seed)
-    hist = tagged.groupBy(c(group), c(_BUCKET)).agg(F.count(F.lit(1)).alias("__n"))
+    most = EDGE_ROWS if most is None else most
+    drawn = df.select(c(group), *[c(k) for k in key if k != group]).filter(c(group).isNotNull()).withColumn("__draw", draw_text([c(k) for k in key], seed))
+    digits = PREFIX_DIGITS
+    hist = drawn.groupBy(c(group), F.substring("__draw", 1, digits).alias("__prefix")).agg(F.count(F.lit(1)).alias("__n"))
     whole = Window.partitionBy(c(group))
-    upto = whole.orderBy(c(_BUCKET)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = hist.select(c(group), c(_BUCKET), c("__n"), F.sum("__n").over(upto).alias("__upto"),
-                         F.sum("__n").over(whole).alias("group_size"))
-    parts = F.array(*[F.struct(F.lit(name).alias("part"), rank.cast("bigint").alias("rank"))
-                      for name, rank in ranks.items()])
-    wanted = (summed.select("*", F.inline(parts))
-              .filter((c("rank") > c("__upto") - c("__n")) & (c("rank") <= c("__upto")))
-              .select(c(group), c(_BUCKET), c("part"),
-                      (c("rank") - c("__upto") + c("__n")).alias("__inside")))
+    upto = whole.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = hist.select(c(group), "__prefix", "__n", F.sum("__n").over(upto).alias("__upto"), F.sum("__n").over(whole).alias("group_size"))
+    parts = F.array(*[F.struct(F.lit(name).alias("part"), rank.cast("bigint").alias("rank")) for name, rank in ranks.items()])
+    wanted = _holding(summed.select("*", F.inline(parts)), group, "rank")
+    wanted, fits = small_side(wanted)
+    while True:
+        fullest = wanted.agg(F.max("__n")).first()[0]
+        if fullest is None or fullest <= most or digits >= _DRAW_DIGITS:
+            break
+        if not fits:
+            wanted = cut_lineage(wanted)
+        wanted, fits = small_side(_descend(drawn, wanted, group, digits))
+        digits = min(_DRAW_DIGITS, digits + PREFIX_DIGITS)
     # A row per group and rank. With its size proven it is broadcast, and only edge rows are shuffled.
-    edge = tagged.join(small_side(wanted)[0], [group, _BUCKET])
-    place = Window.partitionBy(c(group), c("part"), c(_BUCKET)).orderBy(c("__draw"), *[c(k) for k in key])
+    edge = drawn.withColumn("__prefix", F.substring("__draw", 1, digits)).join(wanted, [group, "__prefix"])
+    place = Window.partitionBy(c(group), c("part"), c("__prefix")).orderBy(c("__draw"), *[c(k) for k in key])
     return (edge.withColumn("__place", F.row_number().over(place))
             .filter(c("__place") == c("__inside"))
             .select(c(group), c("part"), draw_struct(key).alias("cut")))
 
 
+def _holding(summed: DataFrame, group: str, rank: str) -> DataFrame:
+    """(group, part, prefix, n, inside): the prefix that holds each wanted rank, and the rank's place in it."""
+    return (summed.filter((c(rank) > c("__upto") - c("__n")) & (c(rank) <= c("__upto")))
+            .select(c(group), c("part"), c("__prefix"), c("__n"), (c(rank) - c("__upto") + c("__n")).alias("__inside")))
+
+
+def _descend(drawn: DataFrame, wanted: DataFrame, group: str, digits: int) -> DataFrame:
+    """Wanted prefixes with PREFIX_DIGITS more digits, by a histogram of the rows under them."""
+    prefixes = small_side(wanted.select(c(group), "__prefix").distinct())[0]
+    under = drawn.withColumn("__prefix", F.substring("__draw", 1, digits)).join(prefixes, [group, "__prefix"])
+    hist = under.groupBy(c(group), "__prefix", F.substring("__draw", 1, digits + PREFIX_DIGITS).alias("__longer")).agg(F.count(F.lit(1)).alias("__n"))
+    upto = Window.partitionBy(c(group), "__prefix").orderBy("__longer").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = hist.withColumn("__upto", F.sum("__n").over(upto))
+    inner = summed.join(wanted.drop("__n"), [group, "__prefix"]).drop("__prefix").withColumnRenamed("__longer", "__prefix")
+    return _holding(inner, group, "__inside")
+
+
 def draw_struct(key: Sequence[str], draw: Column | None = None) -> Column:
     return F.struct((c("__draw") if draw is None else draw).alias("draw"),
                     *[c(k).alias(f"key{i}") for i, k in enumerate(key)])

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import c, cuts_passed, ratio
 from ..functions.ordered import exact_quantiles, prefix_sums, with_value_bucket
+from ..session import cut_lineage
 
 EPSILON = 1e-12
 RECALL_TARGET = 0.85
@@ -41,11 +42,9 @@ def score_histogram(df: DataFrame, y: str, score: str, group: Sequence[str] = ()
 
 def cumulative_counts(df: DataFrame, y: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """(threshold, tp, fp, pos, neg, all_pos, all_neg) at every distinct score, prediction score >= t."""
-    hist = score_histogram(df, y, score, group)
-    raw = df.select(c(score).cast("double").alias("threshold")).filter(
-        c("threshold").isNotNull() & ~F.isnan("threshold"))
-    tagged = with_value_bucket(hist.withColumn("threshold", c("threshold").cast("double")),
-                               "threshold", sample=raw)
+    # The rows are read once; edges, sums and order come from the stored histogram.
+    hist = cut_lineage(score_histogram(df, y, score, group).withColumn("threshold", c("threshold").cast("double")))
+    tagged = with_value_bucket(hist, "threshold")
     summed = prefix_sums(tagged, "__bucket", [c("threshold").desc()], ["pos", "neg"], group, descending=True)
     return summed.select(*[c(g) for g in group], "threshold", "pos", "neg",
                          c("pos_cum").alias("tp"), c("neg_cum").alias("fp"),

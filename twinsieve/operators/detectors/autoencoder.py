@@ -13,7 +13,6 @@ from collections.abc import Iterator, Sequence
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -38,7 +37,7 @@ TRIM_SHARE = 0.10
 Weights = list[np.ndarray]      # alternating matrices and biases
 
 ROWS_PER_WORKER = 20_000        # rows of one virtual worker
-DIRECT_BLOBS = 64               # above this many workers, partial weights are averaged on executors first
+TREE_FANOUT = 32                # weight sums that one node of the tree adds up
 DECAY1, DECAY2, TINY, RIDGE = 0.9, 0.999, 1e-8, 1e-4
 
 
@@ -130,7 +129,7 @@ def training_rows(df: DataFrame, id_col: str, features: str, seed: int, holdout:
     return cut_lineage(fixed), workers
 
 
-_SCHEMA = "layout int, worker int, n bigint, held_n bigint, held_loss double, blob binary"
+_SCHEMA = "layout int, part int, n bigint, held_n bigint, held_loss double, blob binary"
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -162,10 +161,32 @@ def _pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int,
         yield flush()
 
 
+class _Sum:
+    """Sum of weights times rows over any number of workers, of one layout: a fixed size, however many rows."""
+
+    def __init__(self):
+        self.n = self.held_n = 0
+        self.held_loss, self.total = 0.0, None
+
+    def add(self, n: int, held_n: int, held_loss: float, total: np.ndarray | None) -> None:
+        self.n, self.held_n, self.held_loss = self.n + n, self.held_n + held_n, self.held_loss + held_loss
+        if total is not None and n:
+            self.total = total.copy() if self.total is None else self.total + total
+
+    def row(self, layout: int, part: int) -> dict:
+        return {"layout": layout, "part": part, "n": self.n, "held_n": self.held_n, "held_loss": self.held_loss,
+                "blob": None if self.total is None else self.total.tobytes()}
+
+
+def _sums_batch(sums: dict[int, _Sum], part: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([s.row(k, part) for k, s in sums.items()], pa.schema(
+        [("layout", pa.int32()), ("part", pa.int32()), ("n", pa.int64()), ("held_n", pa.int64()), ("held_loss", pa.float64()), ("blob", pa.binary())]))
+
+
 def _epoch(rows: DataFrame, states: dict[int, tuple], rate: float, batch: int) -> DataFrame:
-    """One pass: partial weights of every worker and layout, and the held-out loss of the incoming weights."""
-    def trained(worker: int, pieces: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        """Weights after one worker's mini-batches of ``batch`` rows, cut in hash order."""
+    """One pass: each task's sums over its workers, one row per layout, with the held-out loss of the incoming weights."""
+    def train(pieces: Iterator[tuple[np.ndarray, np.ndarray]], sums: dict[int, _Sum]) -> None:
+        """One worker's mini-batches of ``batch`` rows, cut in hash order, from the incoming weights."""
         trainers = {k: Trainer(shapes, flat, step, rate) for k, (shapes, flat, step) in states.items()}
         incoming = {k: Trainer(*states[k], rate).weights for k in states}
         n = held_n = 0
@@ -178,39 +199,41 @@ def _epoch(rows: DataFrame, states: dict[int, tuple], rate: float, batch: int) -
                     loss[k] += float(squared_errors(incoming[k], seen).mean(axis=1).sum())
                 if len(kept):
                     trainer.learn(kept)
-        ks = list(states)
-        return pa.RecordBatch.from_pydict({
-            "layout": pa.array(ks, pa.int32()), "worker": pa.array([worker] * len(ks), pa.int32()),
-            "n": pa.array([n] * len(ks), pa.int64()), "held_n": pa.array([held_n] * len(ks), pa.int64()),
-            "held_loss": pa.array([loss[k] for k in ks], pa.float64()),
-            "blob": pa.array([trainers[k].flat.tobytes() for k in ks], pa.binary())})
+        for k, trainer in trainers.items():
+            sums[k].add(n, held_n, loss[k], trainer.flat * n)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for worker, pieces in groupby(_pieces(batches, batch), key=lambda piece: piece[0]):
-            yield trained(worker, ((x, held) for _, x, held in pieces))
+        from pyspark import TaskContext
+        sums = {k: _Sum() for k in states}
+        for _, pieces in groupby(_pieces(batches, batch), key=lambda piece: piece[0]):
+            train(((x, held) for _, x, held in pieces), sums)
+        yield _sums_batch(sums, TaskContext.get().partitionId())
 
     return rows.mapInArrow(work, _SCHEMA)
 
 
-def _mean_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Row-weighted mean of the weight sets of one group."""
-    n = int(pdf["n"].sum())
-    total = sum(np.frombuffer(b) * (k if n else 1) for b, k in zip(pdf["blob"], pdf["n"]))
-    return pd.DataFrame({
-        "layout": [int(pdf["layout"].iloc[0])], "worker": [int(pdf["worker"].min())], "n": [n],
-        "held_n": [int(pdf["held_n"].sum())], "held_loss": [float(pdf["held_loss"].sum())],
-        "blob": [(total / (n or len(pdf))).tobytes()]})
+def _added(rows: Iterator[dict]) -> dict[int, _Sum]:
+    sums: dict[int, _Sum] = {}
+    for r in rows:
+        total = None if r["blob"] is None else np.frombuffer(r["blob"])
+        sums.setdefault(r["layout"], _Sum()).add(r["n"], r["held_n"], r["held_loss"], total)
+    return sums
+
+
+def _fold(batch: pa.Table) -> pa.Table:
+    """Sum of the rows of one node of the tree."""
+    rows = batch.to_pylist()
+    part = min(r["part"] for r in rows)
+    return pa.Table.from_batches([_sums_batch(_added(rows), part // TREE_FANOUT)])
 
 
-def _gather(partial: DataFrame, workers: int) -> dict[int, pd.DataFrame]:
-    """Average on the executors in groups of about sqrt(workers), then the few group means here."""
-    if workers > DIRECT_BLOBS:
-        width = math.isqrt(workers) + 1
-        partial = (partial.withColumn("grp", F.floor(c("worker") / width))
-                   .groupBy("layout", "grp").applyInPandas(lambda pdf: _mean_rows(pdf), _SCHEMA))
-    rows = sorted(partial.collect(), key=lambda r: (r["layout"], r["worker"]))
-    table = pd.DataFrame([r.asDict() for r in rows])
-    return {int(k): _mean_rows(part) for k, part in table.groupby("layout")}
+def _gather(partial: DataFrame, parts: int) -> dict[int, _Sum]:
+    """Sums over all tasks: a tree of TREE_FANOUT rows a node on the executors, the last few rows here."""
+    while parts > TREE_FANOUT:
+        partial = partial.groupBy("layout", F.floor(c("part") / TREE_FANOUT)).applyInArrow(_fold, _SCHEMA)
+        parts = math.ceil(parts / TREE_FANOUT)
+    rows = sorted(partial.collect(), key=lambda r: (r["layout"], r["part"]))
+    return _added(r.asDict() for r in rows)
 
 
 def train_layouts(df: DataFrame, id_col: str, features: str, layouts: Sequence[Sequence[int]],
@@ -218,7 +241,7 @@ def train_layouts(df: DataFrame, id_col: str, features: str, layouts: Sequence[S
                   patience: int = 10, holdout: float = 0.10, tolerance: float = 1e-4) -> list[Weights]:
     """Train all layouts in shared passes; each stops by itself when its held-out loss stalls."""
     rows, workers = training_rows(df, id_col, features, seed, holdout)
-    width = rows.select(F.size("x")).first()[0]
+    width, parts = rows.select(F.size("x")).first()[0], rows.rdd.getNumPartitions()
     states, best = {}, {}
     for k, layout in enumerate(layouts):
         start = initial_weights(width, layout, seed)
@@ -226,16 +249,15 @@ def train_layouts(df: DataFrame, id_col: str, features: str, layouts: Sequence[S
         states[k] = ([a.shape for a in start], np.concatenate([flat, np.zeros(2 * len(flat))]), 0)
         best[k] = {"loss": math.inf, "flat": flat, "stalled": 0}
     for epoch in range(epochs + 1):      # the extra pass only measures the last weights
-        for k, mean in _gather(_epoch(rows, states, rate, batch), workers).items():
+        for k, mean in _gather(_epoch(rows, states, rate, batch), parts).items():
             shapes, flat, step = states[k]
-            measured = int(mean["held_n"].iloc[0])
-            loss = float(mean["held_loss"].iloc[0]) / measured if measured else -epoch
+            loss = mean.held_loss / mean.held_n if mean.held_n else -epoch
             if loss < best[k]["loss"] - tolerance * abs(best[k]["loss"] if best[k]["loss"] < math.inf else 0):
                 best[k].update(loss=loss, flat=flat.reshape(3, -1)[0], stalled=0)
             else:
                 best[k]["stalled"] += 1
-            taken = math.ceil(int(mean["n"].iloc[0]) / max(1, workers) / batch)
-            states[k] = (shapes, np.frombuffer(mean["blob"].iloc[0]).copy(), step + max(1, taken))
+            taken = math.ceil(mean.n / max(1, workers) / batch)
+            states[k] = (shapes, flat if mean.total is None else mean.total / mean.n, step + max(1, taken))
             if best[k]["stalled"] >= patience:
                 del states[k]
         if not states:

@@ -73,9 +73,9 @@ def two_means_split(df: DataFrame, score: str) -> DataFrame:
     sums over the distinct values give every split's between-cluster sum of squares. No restarts, no passes
     over cached rows. The cut lies half-way between the centres.
     """
-    logs = cut_lineage(df.select(F.log1p(c(score).cast("double")).alias("v")).filter(c("v").isNotNull() & ~F.isnan("v")))
+    logs = df.select(F.log1p(c(score).cast("double")).alias("v")).filter(c("v").isNotNull() & ~F.isnan("v"))
     hist = logs.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("s", c("v") * c("n"))
-    summed = prefix_sums(with_value_bucket(hist, "v", sample=logs), "__bucket", [c("v")], ["n", "s"])
+    summed = prefix_sums(with_value_bucket(cut_lineage(hist), "v"), "__bucket", [c("v")], ["n", "s"])
     low, high = c("s_cum") / c("n_cum"), F.try_divide(c("s_all") - c("s_cum"), c("n_all") - c("n_cum"))
     between = F.when(c("n_cum") < c("n_all"),
                      c("n_cum") * low * low + (c("n_all") - c("n_cum")) * high * high)
@@ -129,20 +129,34 @@ def alert_cluster(df: DataFrame, cluster: str, score: str) -> DataFrame:
 
 # ---------------------------------------------------------------- rank fusion
 
-def average_ranks(df: DataFrame, score: str) -> DataFrame:
-    """(score, rank): average-tie ascending rank divided by the row count, per distinct score."""
-    valid = df.filter(c(score).isNotNull() & ~F.isnan(c(score))).select(c(score).cast("double").alias(score))
-    hist = valid.groupBy(c(score)).agg(F.count(F.lit(1)).alias("n"))
-    summed = prefix_sums(with_value_bucket(hist, score, sample=valid), "__bucket", [c(score)], ["n"])
+_WHICH, _SCORE = "__which", "__score"
+
+
+def average_ranks(long: DataFrame) -> DataFrame:
+    """(which, score, rank) of a long table of scores: average-tie ascending rank divided by the number of rows.
+
+    All scores are ranked together: one histogram, one set of value ranges, one prefix sum per score.
+    """
+    valid = long.filter(c(_SCORE).isNotNull() & ~F.isnan(c(_SCORE)))
+    hist = cut_lineage(valid.groupBy(c(_WHICH), c(_SCORE)).agg(F.count(F.lit(1)).alias("n")))
+    summed = prefix_sums(with_value_bucket(hist, _SCORE), "__bucket", [c(_SCORE)], ["n"], [_WHICH])
     middle = c("n_cum") - c("n") + (c("n") + 1) * F.lit(0.5).cast("double")
-    return summed.select(c(score), ratio(middle, c("n_all")).alias("rank"))
+    return summed.select(c(_WHICH), c(_SCORE), ratio(middle, c("n_all")).alias("rank"))
 
 
 def rank_fusion(df: DataFrame, scores: Sequence[str], row_id: str, out: str = "fused") -> DataFrame:
-    """Mean of the ranks of several scores. A score shared by many rows is salted in the look-up."""
-    joined = df
-    for i, score in enumerate(scores):
-        ranks = average_ranks(df, score).select(c(score), c("rank").alias(f"__r{i}"))
-        joined = salted_join(joined, ranks, score, "left", [row_id])
-    total = sum((c(f"__r{i}") for i in range(1, len(scores))), c("__r0"))
-    return joined.select(*[c(n) for n in df.columns], (total / len(scores)).alias(out))
+    """Mean of the ranks of several scores; null when one is missing.
+
+    ``row_id`` tells the rows apart. The scores are unpivoted once, ranked together, looked up in one join (a score
+    shared by many rows is salted) and brought back by row, so the number of jobs does not follow that of scores.
+    """
+    # A sum with zero makes both zeros one value.
+    each = F.array(*[F.struct(F.lit(i).alias(_WHICH), (c(s).cast("double") + F.lit(0.0).cast("double")).alias(_SCORE)) for i, s in enumerate(scores)])
+    long = df.select(c(row_id).alias("__row"), F.inline(each))
+    key = F.when(c(_SCORE).isNotNull(), F.concat_ws(":", c(_WHICH), c(_SCORE).cast("string"))).alias("__key")
+    ranks = average_ranks(long).select(key, "rank")
+    found = salted_join(long.select("__row", _WHICH, key), ranks, "__key", "left", ["__row"])
+    in_order = F.array_sort(F.collect_list(F.struct(_WHICH, "rank")))       # as many entries as scores
+    total = F.aggregate(F.transform(in_order, lambda x: x["rank"]), F.lit(0.0).cast("double"), lambda a, x: a + x)
+    fused = found.groupBy("__row").agg((total / len(scores)).alias("__fused"))
+    return df.join(fused, c(row_id) == c("__row"), "left").select(*[c(n) for n in df.columns], c("__fused").alias(out))
