@@ -191,7 +191,7 @@ def integrity_report(df: DataFrame, cls: str, limits: GateLimits = GateLimits(),
     counted = data.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(c(cls) == limits.benign).alias("benign"),
         *[F.count_if(c(cls) == name).alias(f"__class{i}") for i, name in enumerate(limits.classes)],
-        *[F.count(c(n)).alias(f"__filled{i}") for i, n in enumerate(data.columns)])
+        *[F.count_if(~missing(data, n)).alias(f"__filled{i}") for i, n in enumerate(data.columns)])
     duplicates = duplicate_count(data).select("n_duplicate").scalar()
     rows, benign = c("rows"), c("benign")
     attacks, share = rows - benign, 100 * ratio(rows - benign, rows)

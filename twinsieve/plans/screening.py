@@ -13,18 +13,42 @@ from ..operators.curves import RECALL_TARGET, quantile_sweep, recall_threshold
 from ..operators.evaluation import detection_by_class, evaluate
 from ..operators.features import RowPreprocessor, RowPreprocessorModel
 from ..operators.sampling import split_stratified
-from ..session import cut_lineage
+from ..operators.saved import BundleReader, BundleWriter
+from ..session import SharedTables
 
 
 @dataclass(frozen=True)
 class Screening:
-    """Fitted stage 1. ``scored`` holds every row with its split and score."""
+    """Fitted stage 1. ``scored`` holds every row with its split and score, until ``release``; a loaded one has none."""
 
     preprocessor: RowPreprocessorModel
     detector: Model
     threshold: float
-    scored: DataFrame
+    scored: DataFrame | None
     cls: str
+    tables: SharedTables | None = None
+
+    def write(self) -> BundleWriter:
+        """Preprocessor, detector and cut as one unit."""
+        return BundleWriter("screening", {"preprocessor": self.preprocessor, "detector": self.detector}, {"threshold": self.threshold, "cls": self.cls})
+
+    def save(self, path: str) -> None:
+        self.write().save(path)
+
+    @classmethod
+    def load(cls, path: str) -> Screening:
+        stages, held = BundleReader("screening").load(path)
+        return cls(stages["preprocessor"], stages["detector"], held["threshold"], None, held["cls"])
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """Score and verdict of new rows, beside the kept columns they have."""
+        scored = self.detector.transform(self.preprocessor.transform(rows)).drop(self.preprocessor.getOrDefault("outputCol"))
+        return scored.withColumn("pred", (c("score") >= F.lit(self.threshold)).cast("int"))
+
+    def release(self) -> None:
+        """Delete the scored table; alerts and metrics cannot be read afterwards."""
+        if self.tables is not None:
+            self.tables.release()
 
     def alerts(self, split: str = "test") -> DataFrame:
         return flagged(self.scored.filter(c("split") == split), "score", self.threshold)
@@ -54,18 +78,20 @@ def screen(rows: DataFrame, row_id: str, cls: str, detector: Estimator, preproce
            validation: float = 0.20, seed: int = 42, benign: str = "Benign") -> Screening:
     """Everything fitted sees training rows only; the cut sees validation rows only.
 
-    The scored table is written to the checkpoint folder once, because the cut, the curve, the metrics and
-    the alerts all read it.
+    The source is read once: its rows are written with their split, then as features, each time for all readers, and
+    deleted at the end. The scored table stays for the alerts, curve and metrics until the result is released.
     """
-    labelled = rows.withColumn("y", is_attack(c(cls), benign))
-    parts = split_stratified(labelled, [row_id], "y", test, validation, seed)
-    prepared = preprocessor.copy()._set(
-        keepCols=[*dict.fromkeys([*preprocessor.getOrDefault("keepCols"), row_id, cls, "y", "split"])])
-    fitted = prepared.fit(parts.filter(c("split") == "train"))
-    if drop_leaky is not None:
-        fitted = fitted.without(exact=drop_leaky, allow_empty=False)
-    featured = fitted.transform(parts)
-    model = detector.fit(featured.filter(c("split") == "train"))
-    scored = cut_lineage(model.transform(featured).drop(fitted.getOrDefault("outputCol")))
+    kept = SharedTables(rows.sparkSession)
+    with SharedTables(rows.sparkSession) as shared:
+        labelled = shared.write(rows.withColumn("y", is_attack(c(cls), benign)), "labelled")
+        parts = shared.write(split_stratified(labelled, [row_id], "y", test, validation, seed), "parts")
+        prepared = preprocessor.copy()._set(
+            keepCols=[*dict.fromkeys([*preprocessor.getOrDefault("keepCols"), row_id, cls, "y", "split"])])
+        fitted = prepared.fit(parts.filter(c("split") == "train"))
+        if drop_leaky is not None:
+            fitted = fitted.without(exact=drop_leaky, allow_empty=False)
+        featured = shared.write(fitted.transform(parts), "featured")
+        model = detector.fit(featured.filter(c("split") == "train"))
+        scored = kept.write(model.transform(featured).drop(fitted.getOrDefault("outputCol")), "scored")
     cut = recall_threshold(scored.filter(c("split") == "val"), "y", "score", target).first()["threshold"]
-    return Screening(fitted, model, float(cut), scored, cls)
+    return Screening(fitted, model, float(cut), scored, cls, kept)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,33 @@ def spread_scan(df: DataFrame) -> DataFrame:
     """
     width = shuffle_width(df.sparkSession)
     return df.repartition(width) if df.rdd.getNumPartitions() < width else df
+
+
+class SharedTables:
+    """Results that several readers need: each is written once to the shared folder and deleted when the scope ends.
+
+    Use it as a context manager, or call ``release`` when the last reader is done. A table handed out must not be
+    read after that.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def write(self, df: DataFrame, name: str = "shared") -> DataFrame:
+        path = f"{ensure_checkpoint_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        for path in self.paths:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.paths.clear()
+
+    def __enter__(self) -> SharedTables:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.release()

@@ -163,11 +163,11 @@ def stage_report(spark, sf_dir):
 
 
 def grain_auc(spark, sf_dir):
-    """AUC of a given score at both grains: single records and merged connections."""
+    """AUC of a given score at both grains: single records and merged connections that carry their records' labels."""
     single = events(spark, sf_dir).select(F.lit("record").alias("grain"), "y", "score")
     merged = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(
-        F.max("l_discount").alias("d"), F.sum("l_quantity").alias("score"))
-    connection = merged.select(F.lit("connection").alias("grain"), (c("score") % 2).cast("int").alias("y"), "score")
+        F.max(((c("l_quantity") >= 49) & (c("l_discount") >= 0.09)).cast("int")).alias("y"), F.sum("l_quantity").alias("score"))
+    connection = merged.select(F.lit("connection").alias("grain"), "y", "score")
     return round6(curves.roc_auc(single.unionByName(connection), "y", "score", ["grain"]), "auc")
 
 
@@ -310,7 +310,7 @@ ORACLES = {
         FROM ({sql_metrics(_systems({'stage1': 's1', 'stage2': 's2', 'combined': 'final'}, 'f'))})""",
     "grain_auc": f"""{_EV}, g AS (
           SELECT 'record' AS grain, y, score FROM ev UNION ALL
-          SELECT 'connection', (sum(l_quantity) % 2)::INT, sum(l_quantity) FROM lineitem GROUP BY l_suppkey, l_linenumber),
+          SELECT 'connection', max((l_quantity >= 49 AND l_discount >= 0.09)::INT), sum(l_quantity) FROM lineitem GROUP BY l_suppkey, l_linenumber),
         hi AS (SELECT grain, score, sum(y) AS pos, sum(1 - y) AS neg FROM g GROUP BY grain, score),
         cu AS (SELECT grain, pos, neg, sum(pos) OVER (PARTITION BY grain ORDER BY score DESC) AS tp,
                       sum(pos) OVER (PARTITION BY grain) AS p, sum(neg) OVER (PARTITION BY grain) AS n FROM hi)

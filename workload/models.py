@@ -13,7 +13,7 @@ from twinsieve.operators.features import RowPreprocessor
 from twinsieve.operators.matching import with_endpoint_key
 from twinsieve.operators.sampling import split_stratified
 from twinsieve.operators.segments import merge_segments
-from twinsieve.plans import recheck, screening
+from twinsieve.plans import grains, recheck, screening, study
 from twinsieve.session import spread_scan
 
 from .base import SEED, round6, table
@@ -178,7 +178,37 @@ def recheck_job(spark, sf_dir):
     return recheck.recheck(flagged, segments, score, training=training)
 
 
+def _item_records(spark, sf_dir):
+    """Line items as records of connections between supplier and line; the detector does not see the label."""
+    return spread_scan(table(spark, sf_dir, "lineitem")).select(
+        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_id"),
+        F.concat_ws("-", "l_suppkey", "l_linenumber").alias("Flow ID"), c("l_shipdate").alias("Timestamp"),
+        c("l_quantity").alias("total_qty"), c("l_extendedprice").alias("price"), c("l_discount").alias("discount"),
+        ((c("l_quantity") >= 49) & (c("l_discount") >= 0.09)).cast("int").alias("y"))
+
+
+def grain_forest(spark, sf_dir):
+    """The isolation forest at both grains, labels carried through the merge."""
+    return grains.both_grains(_item_records(spark, sf_dir), "row_id", ["Flow ID"], ["Timestamp"], "y", iforest.IsolationForest(seed=SEED),
+                              RowPreprocessor.for_flows())
+
+
+def supervised_study(spark, sf_dir):
+    """Choice among all kinds, cut, refit and the metric block of the test rows, with a row per part of the split."""
+    flat = rows(spark, sf_dir).filter("y IS NOT NULL").select("vec_id", "y", *[c("features")[i].alias(f"x{i}") for i in range(64)])
+    found = study.supervised_study(flat, "vec_id", "y", RowPreprocessor.for_flows())
+    return found.metrics()
+
+
+def study_parts(spark, sf_dir):
+    """How the study's split deals the rows: per part the number of rows and of attacks."""
+    split = split_stratified(rows(spark, sf_dir).filter("y IS NOT NULL"), ["vec_id"], "y", 0.30, 0.0, SEED)
+    part = F.when(c("split") == "test", "test").otherwise("dev").alias("part")
+    return split.groupBy(part).agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("long").alias("n_attack"))
+
+
 QUERIES = {
+    "grain_forest": grain_forest, "supervised_study": supervised_study, "study_parts": study_parts,
     "ae_score": ae_score, "normalised_ae": normalised_ae, "robust_ae": robust_ae, "ae_sweep": ae_sweep,
     "iforest_score": iforest_score, "iforest_items": iforest_items, "iforest_alerts": iforest_alerts, "pca_score": pca_score,
     "kmeans_cutoff": kmeans_cutoff, "kmeans_alert_cluster": kmeans_alert_cluster, "rf_score": rf_score,
@@ -186,4 +216,9 @@ QUERIES = {
     "detector_auc": detector_auc, "screening_job": screening_job, "recheck_job": recheck_job,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "study_parts": """
+        WITH k AS (SELECT label = 0 AS attack, count(*) AS n, CAST(round(count(*) * 0.3) AS BIGINT) AS held FROM embeddings WHERE label IS NOT NULL GROUP BY 1)
+        SELECT 'test' AS part, CAST(sum(held) AS BIGINT) AS n, CAST(sum(CASE WHEN attack THEN held ELSE 0 END) AS BIGINT) AS n_attack FROM k
+        UNION ALL SELECT 'dev', CAST(sum(n - held) AS BIGINT), CAST(sum(CASE WHEN attack THEN n - held ELSE 0 END) AS BIGINT) FROM k""",
+}
