@@ -57,6 +57,7 @@ ROWS = ([("en", f"s{k % 5}", f"Alpha beta{'x' * (k % 3)} gamma-{'longterm' * (k
 @pytest.mark.parametrize("levels,fold,block,tile", [((3, 6, 12, 24), 1 << 22, 2048, 128), ((1,), 50, 2, 2), ((2, 4, 8, 16, 32), 20, 3, 3), ((30,), 7, 1, 1)])
 def test_brute_force(spark, monkeypatch, levels, fold, block, tile):
     monkeypatch.setattr(audit, "FOLD", fold)
+    monkeypatch.setattr(audit, "MERGED", fold)
     monkeypatch.setattr(audit, "BLOCK_TERMS", block)
     monkeypatch.setattr(audit, "TILE", tile)
     monkeypatch.setattr(audit.kept_terms, "__defaults__", (levels, 10))
@@ -70,7 +71,7 @@ def test_prefixes_shrink_level_by_level(spark):
     level = audit._prefix_level(docs, (3, 6), known).groupBy("key").sum("docs").collect()
     assert sorted(r[1] for r in level) == [40, 40]                                           # "common", "shared" as a whole
     known = audit.frequent_prefixes(docs, (3, 6))
-    assert audit._term_counts(docs, (3, 6), known).select("term").distinct().count() == 11
+    assert audit._term_stripes(docs, (3, 6), known).select("term").distinct().count() == 11
     assert {r.term for r in audit.kept_terms(docs, (3, 7)).collect()} == {"shared"}
 
 

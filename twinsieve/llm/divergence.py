@@ -3,8 +3,8 @@
 Terms that enough documents of a language hold are found by iceberg refinement of byte prefixes. The first level
 counts documents per short prefix; each further level counts longer prefixes of only those terms whose shorter
 prefix is in enough documents, since a term cannot be in more documents than its prefixes; the last level counts
-whole terms. Prefixes are told by hashes in a bitmap of bounded size, whose false bits only let more through; whole
-terms are counted as text, so the result is exact. The last level also counts occurrences per source.
+whole terms. Prefixes are told by hashes in a bitmap of bounded size, whose false bits only let more through; the
+last level counts exactly, per term one packed row of its sources and counts, merged term by term.
 
 Sums over pairs of sources are taken in blocks of terms: a task holds one block of a language's terms for two tiles
 of its sources and gives one sum per pair, so no pair is emitted per term.
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.columns import c
 from ..functions.skew import attach_small
 from .bitmaps import bitmap, hit
+from .packed import packed, packed_lengths, unpacked
 from .stored import stored
 from .words import Text, chunks, hash_spans, mix
 
@@ -32,7 +33,8 @@ BEST = 10                   # terms reported per source
 SCALE = 1_000_000_000
 BLOCK_TERMS = 2048          # terms of one block, about
 TILE = 128                  # sources of one tile
-FOLD = 1 << 22              # terms of texts counted at once
+FOLD = 1 << 20              # terms of texts counted at once
+MERGED = 1 << 19            # entries of terms merged at once
 SALTS = 64
 
 # A term is a run of ASCII letters and of bytes above ASCII.
@@ -124,25 +126,36 @@ def frequent_prefixes(docs: DataFrame, levels: tuple[int, ...] = LEVELS, least:
     return known
 
 
-def _term_counts(docs: DataFrame, levels: tuple[int, ...], known) -> DataFrame:
-    """(lang, source, term, docs, n): the last level, whole terms of surviving prefixes counted per task."""
+_STRIPES = "key long, lang string, term string, codes binary, docs binary, counts binary"
+_KEPT = "lang string, code long, term string, n long, lang_n long, head int"
+
+
+def _source_codes(names: list[str]) -> np.ndarray:
+    raw = [n.encode() for n in names]
+    cuts = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    return hash_spans(b"".join(raw), cuts[:-1], cuts[1:])
+
+
+def _term_stripes(docs: DataFrame, levels: tuple[int, ...], known) -> DataFrame:
+    """The last level: for each whole term of surviving prefixes, documents and occurrences per source, counted per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple[str, str], int] = {}
+        langs: dict[str, int] = {}
         held, texts, size = [], [], 0
 
         def fold():
-            group, keys, first, starts, ends, chunk = (np.concatenate(x) for x in zip(*held))
-            codes, _ = pd.factorize(mix(keys + group.astype(np.uint64) * _ODD))
-            n = np.bincount(codes)
-            in_docs = np.bincount(codes, weights=first).astype(np.int64)
-            place = np.empty(len(n), np.int64)
-            place[codes[::-1]] = np.arange(len(codes))[::-1]
-            spelled = [texts[k][a:b] for k, a, b in zip(chunk[place].tolist(), starts[place].tolist(), ends[place].tolist())]
-            names, own = list(groups), pa.array(group[place])
+            lang, code, keys, first, starts, ends, chunk = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((code, keys))
+            k, x = keys[order], code[order]
+            entry = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1])]))
+            n = np.diff(np.append(entry, len(k))).astype(np.uint32)
+            in_docs = np.add.reduceat(first[order], entry, dtype=np.uint32)
+            head = np.flatnonzero(np.concatenate([[True], k[entry][1:] != k[entry][:-1]]))
+            row, cuts = order[entry[head]], np.append(head, len(entry))
+            spelled = [texts[c][a:b] for c, a, b in zip(chunk[row].tolist(), starts[row].tolist(), ends[row].tolist())]
             held.clear(), texts.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array([g[0] for g in names]).take(own), pa.array([g[1] for g in names]).take(own), pa.array(spelled, pa.binary()).cast(pa.string()),
-                 pa.array(in_docs), pa.array(n, pa.int64())], ["lang", "source", "term", "docs", "n"])
+                [pa.array(keys[row].view(np.int64)), pa.array(list(langs)).take(pa.array(lang[row])), pa.array(spelled, pa.binary()).cast(pa.string()),
+                 packed(x[entry], cuts), packed(in_docs, cuts), packed(n, cuts)], ["key", "lang", "term", "codes", "docs", "counts"])
 
         for batch in batches:
             for rows, text in chunks(batch, "text"):
@@ -151,9 +164,11 @@ def _term_counts(docs: DataFrame, levels: tuple[int, ...], known) -> DataFrame:
                 if not len(some):
                     continue
                 keys = mix(hash_spans(terms.data, terms.starts[some], terms.ends[some]) ^ terms.seed[some])
-                pairs = zip(rows.column(0).fill_null("").to_pylist(), rows.column(1).fill_null("").to_pylist())
-                own = np.array([groups.setdefault(p, len(groups)) for p in pairs])
-                held.append((own[terms.doc[some]], keys, _once(terms.doc[some], keys), terms.starts[some], terms.ends[some], np.full(len(some), len(texts))))
+                spoken, sources = (rows.column(k).dictionary_encode() for k in (0, 1))
+                lang = np.array([langs.setdefault(n, len(langs)) for n in spoken.dictionary.to_pylist()], np.int32)[spoken.indices.to_numpy()]
+                code = _source_codes(sources.dictionary.to_pylist())[sources.indices.to_numpy()]
+                doc = terms.doc[some]
+                held.append((lang[doc], code[doc], keys, _once(doc, keys), terms.starts[some], terms.ends[some], np.full(len(some), len(texts), np.int32)))
                 texts.append(terms.data)
                 size += len(some)
                 if size >= FOLD:
@@ -162,20 +177,73 @@ def _term_counts(docs: DataFrame, levels: tuple[int, ...], known) -> DataFrame:
         if size:
             yield fold()
 
-    return docs.mapInArrow(run, "lang string, source string, term string, docs long, n long")
+    return docs.mapInArrow(run, _STRIPES)
 
 
 def kept_terms(docs: DataFrame, levels: tuple[int, ...] = LEVELS, least: int = LEAST_DOCS) -> DataFrame:
-    """(lang, source, term, n, lang_n, head): occurrences of every kept term per source and in its language.
+    """(lang, code, term, n, lang_n, head): occurrences of every kept term per source and in its language.
 
-    ``docs`` has columns lang, source, text. ``head`` is 1 in one row of each term.
+    ``docs`` has columns lang, source, text without nulls; sources are given by their hash. ``head`` is 1 in one row
+    of each term. Rows of a term meet in one sorted partition; Python holds one term or MERGED entries at a time.
     """
-    counts = _term_counts(docs, levels, frequent_prefixes(docs, levels, least)).repartition("lang", "term")
-    counts = counts.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    term = Window.partitionBy("lang", "term")
-    totals = (counts.withColumn("in_docs", F.sum("docs").over(term)).withColumn("lang_n", F.sum("n").over(term))
-              .withColumn("head", (F.row_number().over(term.orderBy("source")) == 1).cast("int")))
-    return totals.filter(F.col("in_docs") >= least).select("lang", "source", "term", "n", "lang_n", "head")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+
+        def merge(last: bool) -> pa.RecordBatch:
+            nonlocal size
+            rows = pa.Table.from_batches([w[0] for w in waiting]).combine_chunks().to_batches()[0]
+            lengths, code, in_docs, n = (np.concatenate([w[k] for w in waiting]) for k in (1, 2, 3, 4))
+            waiting.clear()
+            keys = rows.column(0).to_numpy()
+            fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
+            term = np.repeat(np.cumsum(fresh) - 1, lengths)
+            order = np.lexsort((code, term))
+            term, code = term[order], code[order]
+            entry = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (code[1:] != code[:-1])]))
+            in_docs, n, term, code = np.add.reduceat(in_docs[order], entry), np.add.reduceat(n[order], entry), term[entry], code[entry]
+            first = np.flatnonzero(fresh)
+            cuts = np.searchsorted(term, np.arange(len(first) + 1))
+            done = len(first) if last else len(first) - 1
+            size = 0
+            if not last:
+                # The last term may go on in the next rows.
+                rest = slice(int(cuts[done]), len(code))
+                waiting.append((rows.slice(int(first[done]), 1), np.array([len(code) - cuts[done]]), code[rest], in_docs[rest], n[rest]))
+                size = len(code) - int(cuts[done])
+            cuts = cuts[:done + 1]
+            if not done:
+                return None
+            often = np.add.reduceat(in_docs[:cuts[-1]], cuts[:-1]) >= least
+            total = np.add.reduceat(n[:cuts[-1]], cuts[:-1])
+            keep = np.flatnonzero(np.repeat(often, np.diff(cuts)))
+            own = pa.array(first[term[keep]])
+            head = np.zeros(len(code), np.int32)
+            head[cuts[:-1]] = 1
+            return pa.RecordBatch.from_arrays([rows.column(1).take(own), pa.array(code[keep].view(np.int64)), rows.column(2).take(own), pa.array(n[keep]),
+                                               pa.array(total[term[keep]]), pa.array(head[keep])], ["lang", "code", "term", "n", "lang_n", "head"])
+
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append((batch.select([0, 1, 2]), packed_lengths(batch.column(3), np.uint64), unpacked(batch.column(3), np.uint64),
+                                unpacked(batch.column(4), np.uint32).astype(np.int64), unpacked(batch.column(5), np.uint32).astype(np.int64)))
+                size += len(waiting[-1][2])
+            if size >= MERGED and (out := merge(last=False)) is not None:
+                yield out
+        if waiting and (out := merge(last=True)) is not None:
+            yield out
+
+    stripes = _term_stripes(docs, levels, frequent_prefixes(docs, levels, least))
+    return stripes.repartition("key").sortWithinPartitions("key").mapInArrow(run, _KEPT)
+
+
+def _coded(groups: DataFrame) -> DataFrame:
+    """(lang, source, code) of (lang, source) rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = _source_codes(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes.view(np.int64))], ["lang", "source", "code"])
+
+    return groups.mapInArrow(run, "lang string, source string, code long")
 
 
 # ---------------------------------------------------------------- divergences
@@ -247,12 +315,12 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     chosen = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
     found = stored(kept_terms(chosen), "kept-terms")
     langs = found.groupBy("lang").agg(F.sum("head").alias("kept"), F.sum("n").alias("lang_total"))
-    totals = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = found.groupBy("lang", "code").agg(F.sum("n").alias("total"))
     in_lang = Window.partitionBy("lang")
-    groups = (chosen.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
+    groups = (_coded(chosen.select("lang", "source").distinct()).join(totals, ["lang", "code"], "left").join(langs, "lang", "left")
               .fillna(0, ["kept", "total", "lang_total"])
               .withColumn("place", F.row_number().over(in_lang.orderBy("source")).cast("long") - 1).withColumn("sources", F.count("*").over(in_lang)))
-    group_key = F.concat_ws(":", F.length("lang"), "lang", "source").alias("group")
+    group_key = F.concat_ws(":", F.length("lang"), "lang", "code").alias("group")
     groups = stored(groups.select("*", group_key, _share(F.lit(0), F.col("total"), F.col("kept")).alias("p0")), "source-groups")
 
     shares = attach_small(found.select("term", "n", "lang_n", "head", group_key), groups, "group", ["term"])
@@ -264,7 +332,7 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     terms = shares.filter("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), _gap(F.col("p"), F.col("q")).alias("value"))
     terms = terms.withColumn("rank", F.row_number().over(apart)).filter(F.col("rank") <= BEST).withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= BEST)
 
-    sums = _pairs(shares, groups)
+    sums = stored(_pairs(shares, groups), "source-pairs")
     both = sums.union(sums.select("lang", F.col("other").alias("one"), F.col("one").alias("other"), "value"))
     names = groups.select("lang", F.col("place").alias("one"), "source")
     pairs = (both.join(names, ["lang", "one"]).join(names.select("lang", F.col("one").alias("other"), F.col("source").alias("item")), ["lang", "other"])
