@@ -1,5 +1,7 @@
 import hashlib
+import math
 import random
+from collections import Counter
 
 from odd_rows import TEXTS, empty, frame
 from pattern_spans import base
@@ -44,20 +46,54 @@ def test_random_and_long_texts(spark):
 
 def test_disclosing_terms(spark):
     draw = random.Random(3)
-    common = [" ".join(draw.choice(["alpha", "bravo", "delta", "gamma"]) for _ in range(40)) for _ in range(60)]
+    common = [" ".join(draw.choice(["alpha", "bravo", "delta", "gamma"]) for _ in range(40)) for _ in range(700)]
     rows = [(i, t) for i, t in enumerate(common)]
-    rows += [(100 + k, f"{common[k]} zanzibar alpha jo@corp.example bravo {common[k + 1]}") for k in range(5)]
-    rows += [(200 + k, f"{common[k]} quixotic alpha jo@corp.example bravo") for k in range(4)] + [(210 + k, f"{common[k]} quixotic") for k in range(3)]
+    rows += [(1000 + k, f"{common[k]} zanzibar alpha jo@corp.example bravo {common[k + 1]}") for k in range(5)]
+    rows += [(2000 + k, f"{common[k]} quixotic alpha ann@corp.example bravo") for k in range(4)] + [(2010 + k, f"{common[k]} quixotic") for k in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: r.spans for r in sanitise.personal_data_digest(docs).collect()}
     text = dict(rows)
-    for key in range(100, 105):
-        terms = [text[key][int(a):int(b)] for kind, a, b in (s.split(":") for s in found[key].split(",")) if kind == "term"]
-        assert terms == ["zanzibar"]
+    marked = {key: {text[key][int(a):int(b)] for kind, a, b in (s.split(":") for s in spans.split(",") if s) if kind == "term"} for key, spans in found.items()}
+    assert all(marked[1000 + k] == {"zanzibar"} for k in range(5))
+    # Four of its seven places are near the entity: generalised, there and where no entity stands.
+    assert all(marked[k] == {"quixotic"} for k in (*range(2000, 2004), *range(2010, 2013)))
     clean = {r.doc_id: r.text for r in sanitise.sanitised(docs).collect()}
-    assert "zanzibar" not in clean[100] and "jo@" not in clean[100] and "<EMAIL>" in clean[100] and "alpha" in clean[100]
-    assert "<TERM> alpha <EMAIL> bravo" in clean[200] and clean[210] == text[210] and clean[0] == text[0]
-    assert all(found[k] == "" for k in range(60))
+    assert "zanzibar" not in clean[1000] and "jo@" not in clean[1000] and "<EMAIL>" in clean[1000] and "alpha" in clean[1000]
+    assert "<TERM> alpha <EMAIL> bravo" in clean[2000] and clean[2010] == f"{common[0]} <TERM>" and clean[0] == text[0]
+    assert all(found[k] == "" for k in range(700))
+
+
+def test_terms_against_a_count_by_documents(spark):
+    """Each term that the counts by documents convict is marked; none without SUPPORT documents beside an entity is."""
+    draw = random.Random(9)
+    vocabulary = [f"{a}{b}{c}{d}" for a in "bcdf" for b in "aeiou" for c in "lmnr" for d in ("sta", "vek", "dor")]
+    rows = []
+    for i in range(900):
+        words = [draw.choice(vocabulary) for _ in range(25)]
+        if draw.random() < 0.08:
+            k = draw.randrange(6)
+            words.insert(draw.randrange(25), f"person{k}@corp.example")
+            for _ in range(draw.randint(0, 2)):
+                words.insert(draw.randrange(25), "".join("uvwxyz"[k] for _ in range(4)) + draw.choice("abc"))
+        if draw.random() < 0.01:
+            words.insert(3, draw.choice("uvwxyz") * 4 + draw.choice("abc"))
+        rows.append((i, " ".join(words)))
+    shown = {i: ({w for w in t.split() if "@" in w}, {w for w in t.split() if "@" not in w}) for i, t in rows}
+    entities, terms, both = Counter(), Counter(), Counter()
+    for who, words in shown.values():
+        entities.update(who), terms.update(words), both.update((w, e) for w in words for e in who)
+    convicted = {w for (w, e), n in both.items() if n >= sanitise.SUPPORT and n / terms[w] >= sanitise.SHARE
+                 and math.log2(n * len(rows) / (terms[w] * entities[e])) >= sanitise.BITS}
+    assert convicted
+    docs, text = spark.createDataFrame(rows, "doc_id long, text string"), dict(rows)
+    marked = {}
+    for r in sanitise.personal_data_digest(docs).collect():
+        for kind, a, b in (s.split(":") for s in r.spans.split(",") if s):
+            if kind == "term":
+                marked.setdefault(text[r.doc_id][int(a):int(b)], set()).add(r.doc_id)
+    supported = {w for (w, _), n in both.items() if n >= sanitise.SUPPORT}
+    assert convicted <= set(marked) <= supported
+    assert all(marked[w] == {i for i, (_, words) in shown.items() if w in words} for w in marked)
 
 
 def test_odd_rows(spark):
