@@ -127,8 +127,8 @@ def test_study_keeps_test_rows_out_of_every_fit(spark, folder):
 
 def test_one_detector_at_both_grains_carries_labels_through_the_merge(spark, folder):
     rows = labelled(spark, 900).select(c("id").alias("row_id"), F.concat(F.lit("f"), c("id") % 90 + F.when(c("y") == 1, 1000).otherwise(0)).alias("Flow ID"),
-                                       c("id").alias("Timestamp"), "a", "b", c("d").alias("max_d"), "y")
-    merged = grains.merged_with_label(rows, ["Flow ID"], ["Timestamp"], "y", ["row_id"]).collect()
+                                       F.timestamp_seconds("id").alias("Timestamp"), "a", "b", c("d").alias("max_d"), "y")
+    merged = grains.merged_with_label(rows, ["Flow ID"], ["Timestamp"], "y", ["row_id", "Timestamp"]).collect()
     want = {r["Flow ID"]: r["y"] for r in rows.groupBy("Flow ID").agg(F.max("y").alias("y")).collect()}
     assert {r["Flow ID"]: r["y"] for r in merged} == want
     found = {r["grain"]: r for r in grains.both_grains(rows, "row_id", ["Flow ID"], ["Timestamp"], "y", IsolationForest(trees=20), RowPreprocessor.for_flows()).collect()}

@@ -28,7 +28,7 @@ def both_grains(records: DataFrame, row_id: str, key: Sequence[str], order: Sequ
     Each grain is split by its own rows, prepared and fitted on its training rows without labels, and judged on its
     test rows. Merged rows get an id from their key.
     """
-    merged = merged_with_label(records, key, order, y, [*identity, row_id]).drop(row_id)
+    merged = merged_with_label(records, key, order, y, [*identity, row_id, *order]).drop(row_id)
     merged = merged.withColumn(row_id, F.concat_ws("\x1f", *[c(k) for k in key]))
     out = None
     with SharedTables(records.sparkSession) as shared:
