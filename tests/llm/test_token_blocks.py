@@ -13,9 +13,7 @@ PATH = tokenizer_path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 31, 2047, 2048, 2049, 70_000])
@@ -51,6 +49,17 @@ def test_units_never_change_the_ids(library):
         assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_special_strings_in_many_texts(library):
+    draw = np.random.default_rng(4)
+    signs = ["<|endoftext|>", "<|endof", "text|>", " ", "a", "\n", "  ", "'s", " <|", "|>"]
+    texts = ["".join(draw.choice(signs, draw.integers(0, 9))) for _ in range(800)] + ["end <|endoftext|> next", "<|endof", "text|>"]
+    raw = [t.encode() for t in texts]
+    ids, lengths = blocks.tokenize(b"".join(raw), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64), PATH)
+    found = [part.tolist() for part in np.split(ids, np.cumsum(lengths)[:-1])]
+    assert found == [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert found[-3] == [437, 220, 50256, 1306, 2]
+
+
 def _expected(rows, library):
     out, at = [], 0
     for key, text in rows:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import c
 from .bitmaps import bitmap, hit
+from .packed import packed, packed_lengths, unpacked
 from .stored import stored
 from .words import Text, chunks, hash_spans, mix
 
@@ -29,7 +30,7 @@ SWALLOWED = 50              # 100 * f(longer) >= SWALLOWED * f drops a phrase
 BEST = 2000                 # phrases reported per language
 NO_LANGUAGE = "und"
 PARTS = 4096                # a stripe holds this fraction of all words at most, or is split
-FOLD = 1 << 22              # words whose stripes a task builds at once
+FOLD = 1 << 21              # words whose stripes a task builds at once
 MERGED = 1 << 20            # stripe entries merged at once
 SALTS = 64                  # groups of a language that are ranked apart before the whole
 
@@ -146,12 +147,6 @@ def _stripes(first: np.ndarray, keys: np.ndarray, nexts: np.ndarray, hot) -> tup
     return first[order[entry[head]]], part[head], np.append(head, len(k)), x, counts
 
 
-def _binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    """Stretches of an array as one binary each."""
-    offsets = (cuts * values.itemsize).astype(np.int32)
-    return pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
-
-
 def word_stripes(docs: DataFrame, hot) -> DataFrame:
     """Stripes of all words; the next word of a piece's last word is its end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +156,7 @@ def word_stripes(docs: DataFrame, hot) -> DataFrame:
             spelled = [texts[k][a:b] for k, a, b in zip(chunk[row].tolist(), starts[row].tolist(), stops[row].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names).take(pa.array(lang[row])), pa.array(keys[row].view(np.int64)), pa.array(np.zeros(len(row), np.int64)), pa.array(part, pa.int32()),
-                 pa.array(spelled, pa.binary()).cast(pa.string()), _binaries(x, cuts), _binaries(counts, cuts)], ["lang", "w1", "w2", "part", "word", "nexts", "counts"])
+                 pa.array(spelled, pa.binary()).cast(pa.string()), packed(x, cuts), packed(counts, cuts)], ["lang", "w1", "w2", "part", "word", "nexts", "counts"])
 
     return docs.mapInArrow(run, _STRIPES)
 
@@ -178,19 +173,13 @@ def pair_stripes(docs: DataFrame, hot, frequent) -> DataFrame:
             row, part, cuts, x, counts = _stripes(at, pairs[at], keys[at + 2], hot.value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names).take(pa.array(lang[row])), pa.array(keys[row].view(np.int64)), pa.array(keys[row + 1].view(np.int64)), pa.array(part, pa.int32()),
-                 pa.nulls(len(row), pa.string()), _binaries(x, cuts), _binaries(counts, cuts)], ["lang", "w1", "w2", "part", "word", "nexts", "counts"])
+                 pa.nulls(len(row), pa.string()), packed(x, cuts), packed(counts, cuts)], ["lang", "w1", "w2", "part", "word", "nexts", "counts"])
 
     return docs.mapInArrow(run, _STRIPES)
 
 
 # ---------------------------------------------------------------- merging stripes
 
-def _flat(column: pa.Array, kind: type) -> np.ndarray:
-    _, at, values = column.buffers()
-    offsets = np.frombuffer(at, np.int32)[column.offset:column.offset + len(column) + 1]
-    return np.frombuffer(values, np.uint8)[offsets[0]:offsets[-1]].view(kind) if values is not None else np.zeros(0, kind)
-
-
 class _Merger:
     """Merges sorted stripe rows; the stripe that may go on in the next rows waits, merged."""
 
@@ -199,9 +188,8 @@ class _Merger:
         self.size = 0
 
     def add(self, batch: pa.RecordBatch) -> None:
-        x, counts = _flat(batch.column(5), np.uint64), _flat(batch.column(6), np.uint32)
-        lengths = np.diff(np.frombuffer(batch.column(6).buffers()[1], np.int32)[batch.column(6).offset:batch.column(6).offset + batch.num_rows + 1]) // 4
-        self._hold(batch.select([0, 1, 2, 3, 4]), lengths, x, counts.astype(np.int64))
+        x, counts = unpacked(batch.column(5), np.uint64), unpacked(batch.column(6), np.uint32)
+        self._hold(batch.select([0, 1, 2, 3, 4]), packed_lengths(batch.column(6), np.uint32), x, counts.astype(np.int64))
 
     def _hold(self, rows, lengths, x, counts) -> None:
         self.waiting.append((rows, lengths, x, counts))

@@ -15,6 +15,7 @@ ids (i8 each), their lengths (u8 each); then per round the lane lengths (u2 each
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -349,32 +350,55 @@ def _encode_joined(tokenizer, width: np.ndarray, units: list[bytes]) -> list:
     return out
 
 
-def byte_encoder(path: str) -> tuple[UnitCache, int]:
-    """(memory over the tokenizers library, number of ids), one per worker and file."""
-    loaded = worker_memory("tokens")
-    if path not in loaded:
+class ByteEncoder:
+    """A tokenizer file with its memory of units; special strings inside a text are ids of their own, as in the library."""
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
+        self.symbols = tokenizer.get_vocab_size()
+        self.special = {token.content.encode(): number for number, token in tokenizer.get_added_tokens_decoder().items()}
+        self.literals = re.compile(b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+        # The strings are cut out before, so that none is read into units that stand side by side by chance.
         tokenizer.encode_special_tokens = True
-
         # Bytes of each id: the vocabulary writes one character per byte.
-        width = np.zeros(tokenizer.get_vocab_size(), np.int64)
+        width = np.zeros(self.symbols, np.int64)
         for token, number in tokenizer.get_vocab().items():
             width[number] = len(token)
 
         def encode(units: list[bytes]) -> list:
-            return _encode_joined(tokenizer, width, units)
-
-        loaded[path] = UnitCache(encode), tokenizer.get_vocab_size()
+            out = [[self.special[u]] if u in self.special else None for u in units]
+            rest = [i for i, ids in enumerate(out) if ids is None]
+            for i, ids in zip(rest, _encode_joined(tokenizer, width, [units[i] for i in rest])):
+                out[i] = ids
+            return out
+
+        self.memory = UnitCache(encode)
+
+    def cuts(self, data: bytes, offsets: np.ndarray) -> np.ndarray:
+        """Cuts of ``unit_cuts``, and around every special string; the text between these is split by itself."""
+        if self.literals is None or not self.literals.search(data):
+            return unit_cuts(data, offsets)
+        bounds = [offsets]
+        for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            bounds.append(np.array([p + low for m in self.literals.finditer(data[low:high]) for p in m.span()], np.int64))
+        return unit_cuts(data, np.unique(np.concatenate(bounds)))
+
+
+def byte_encoder(path: str) -> ByteEncoder:
+    """The encoder of a file, one per worker."""
+    loaded = worker_memory("tokens")
+    if path not in loaded:
+        loaded[path] = ByteEncoder(path)
     return loaded[path]
 
 
 def tokenize(data: bytes, offsets: np.ndarray, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all documents end to end with the end id after each, ids of each document)."""
-    cache, _ = byte_encoder(path)
+    encoder = byte_encoder(path)
     docs = len(offsets) - 1
-    cuts = unit_cuts(data, offsets)
-    ids, lengths = cache.encode_spans(data, cuts[:-1], cuts[1:])
+    cuts = encoder.cuts(data, offsets)
+    ids, lengths = encoder.memory.encode_spans(data, cuts[:-1], cuts[1:])
     sums = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(cuts, offsets)]
     out = np.full(len(ids) + docs, end_id, np.uint32)
     out[gather_ragged(sums[:-1] + np.arange(docs), np.diff(sums))] = ids
@@ -396,7 +420,7 @@ def write_token_blocks(docs: DataFrame, path: str, tokenizer: str, id_col: str =
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        part, block, symbols = TaskContext.get().partitionId(), 0, byte_encoder(tokenizer)[1]
+        part, block, symbols = TaskContext.get().partitionId(), 0, byte_encoder(tokenizer).symbols
         names, sizes, runs, held = [], [], [], 0
 
         def flush():
@@ -448,7 +472,7 @@ def read_token_blocks(spark: SparkSession, path: str, tokenizer: str,
               .select("part", "block", (F.col("ahead") + F.col("inside")).alias("ahead")))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = byte_encoder(tokenizer)[1]
+        symbols = byte_encoder(tokenizer).symbols
         for batch in batches:
             for i in range(batch.num_rows):
                 doc_ids, lengths, ids = unpack_block(batch.column(2)[i].as_buffer().to_pybytes(), symbols)
