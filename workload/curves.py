@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from twinsieve.functions.columns import c
@@ -10,6 +12,8 @@ from twinsieve.operators.detectors.simple import TwoMeansCutoff, alert_cluster,
 from twinsieve.operators.sampling import class_weights, split_stratified
 from twinsieve.plans import report
 from twinsieve.plans.screening import flagged
+from twinsieve.session import ensure_checkpoint_dir
+from twinsieve.sources.sinks import read_curve, write_curve
 
 from .base import (EVENTS_SQL, METRICS, SEED, VERDICTS_SQL, events, round6, sql_cells, sql_draw, sql_metrics,
                    sql_quantiles, table, verdicts)
@@ -182,7 +186,15 @@ def screen_alerts(spark, sf_dir):
     return flagged(parts.filter(c("split") == "test"), "score", cut).select("event_id", "event_type", "y", "score")
 
 
+def curve_sink(spark, sf_dir):
+    """The curve of all events, written in ordered parts with a manifest and read back."""
+    path = f"{ensure_checkpoint_dir(spark)}/curve-{uuid.uuid4().hex}"
+    write_curve(pr_curve(spark, sf_dir), path)
+    return read_curve(spark, path).drop("part")
+
+
 QUERIES = {
+    "curve_sink": curve_sink,
     "pr_curve": pr_curve, "roc_curve": roc_curve, "roc_auc": roc_auc, "f1_threshold": f1_threshold,
     "recall_threshold": recall_threshold, "quantile_sweep": quantile_sweep, "class_quantile_cut": class_quantile_cut,
     "contamination_cut": contamination_cut, "robust_trim": robust_trim, "rank_fusion": rank_fusion_query,
@@ -233,6 +245,7 @@ _TWO_MEANS = """lg AS (SELECT ln(1 + score) AS v, count(*) AS n FROM ev GROUP BY
 
 ORACLES = {
     "pr_curve": f"{_EV}, {_curve()} SELECT threshold, tp, fp, round(precision, 6) AS precision, round(recall, 6) AS recall FROM pr",
+    "curve_sink": f"{_EV}, {_curve()} SELECT threshold, tp, fp, round(precision, 6) AS precision, round(recall, 6) AS recall FROM pr",
     "roc_curve": f"""{_EV}, {_curve()}
         SELECT threshold, round(fp / all_neg::DOUBLE, 6) AS fpr, round(tp / all_pos::DOUBLE, 6) AS tpr FROM cu""",
     "roc_auc": f"""{_EV}, {_curve()}

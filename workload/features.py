@@ -120,7 +120,29 @@ def scalar_suite(spark, sf_dir):
         (c("value") > F.lit(middle)).alias("above_p90"), is_attack(c("event_type"), "view").alias("y"))
 
 
+def port_events(spark, sf_dir):
+    """Events whose columns carry names of traffic features."""
+    return table(spark, sf_dir, "events").select("event_id", c("user_id").alias("port_class_dst"), c("value").alias("stream_5_mean"),
+                                                 c("event_type").alias("attack_kind"), F.when(c("user_id") % 5 > 0, c("user_id")).alias("src_ip"))
+
+
+def drop_leaky(spark, sf_dir):
+    """The numeric features of all events without the leaky one."""
+    rows = port_events(spark, sf_dir)
+    kept, _ = features.drop_matching(["port_class_dst", "stream_5_mean"])
+    return rows.select("event_id", *[c(n) for n in kept])
+
+
+def forbidden_columns(spark, sf_dir):
+    """Columns that may not be features, and in how many rows each is present."""
+    rows = port_events(spark, sf_dir)
+    found = quality.forbidden_features(rows.columns)
+    counted = rows.agg(*[F.count(c(n)).alias(n) for n in found])
+    return counted.unpivot([], found, "column_name", "n_present")
+
+
 QUERIES = {
+    "drop_leaky": drop_leaky, "forbidden_columns": forbidden_columns,
     "bookkeeping": bookkeeping, "coerce_numeric": coerce_numeric, "inf_to_null": inf_to_null,
     "impute_zero": impute_zero, "impute_median": impute_median, "presence_flags": presence_flags,
     "onehot_lowcard": onehot_lowcard, "onehot_values": onehot_values, "schema_align": schema_align,
@@ -156,6 +178,11 @@ _MATRIX_SQL = f"""
     SELECT o_orderkey, {', '.join(f'round({_scaled(n)}, 6) + 0 AS "{n}"' for n in _MATRIX)} FROM x"""
 
 ORACLES = {
+    "drop_leaky": "SELECT event_id, value AS stream_5_mean FROM events",
+    "forbidden_columns": """
+        SELECT 'port_class_dst' AS column_name, count(user_id) AS n_present FROM events
+        UNION ALL SELECT 'attack_kind', count(event_type) FROM events
+        UNION ALL SELECT 'src_ip', count(*) FILTER (user_id % 5 > 0) FROM events""",
     "bookkeeping": "SELECT event_id, event_type, user_id FROM events",
     "coerce_numeric": r"""
         SELECT event_id, TRY_CAST(regexp_extract(props, '(\d+)', 1) AS DOUBLE) AS k, TRY_CAST(props AS DOUBLE) AS whole_text FROM events""",

@@ -8,6 +8,7 @@ from twinsieve.functions.columns import c
 from twinsieve.operators.curves import operating_point, recheck_grid
 from twinsieve.operators.matching import (flows_for_alerts, look_up_scores, match_rate, unmatched, with_endpoint_key,
                                           without_training_flows)
+from twinsieve.operators import quality
 from twinsieve.operators.segments import merge_segments
 from twinsieve.plans import flows as flow_plan, recheck as plan
 
@@ -116,7 +117,13 @@ def flow_dataset(spark, sf_dir):
                                "discount", "position"), "discount", digits=9)
 
 
+def unaligned_documents(spark, sf_dir):
+    """Documents without a label and labels without a document, by id."""
+    return quality.unaligned_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
 QUERIES = {
+    "unaligned_documents": unaligned_documents,
     "merge_segments": merge_segments_query, "endpoint_key": endpoint_key_query,
     "flows_for_alerts": flows_for_alerts_query, "score_lookup": score_lookup, "match_rate": match_rate_query,
     "unmatched_alerts": unmatched_alerts, "holdout_flows": holdout_flows, "recheck_sweep": recheck_sweep,
@@ -152,6 +159,9 @@ _PORT = ("CASE l_suppkey % 7 WHEN 0 THEN '<NA>' WHEN 1 THEN '80' WHEN 2 THEN '<N
 _A, _B = f"'10.0.0.' || l_suppkey || ':' || {_PORT}", "'10.0.0.' || l_linenumber || ':443'"
 
 ORACLES = {
+    "unaligned_documents": """
+        SELECT coalesce(d.doc_id, l.doc_id) AS doc_id FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id
+        WHERE d.doc_id IS NULL OR l.doc_id IS NULL""",
     "merge_segments": """
         WITH o AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_linenumber
                                                 ORDER BY l_shipdate, l_orderkey, l_partkey) AS k FROM lineitem)
