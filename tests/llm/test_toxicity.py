@@ -90,3 +90,21 @@ def test_odd_rows(spark, scorer):
     blank = toxicity.fit(frame(spark), labels)
     assert all(r.predicted == 0 for r in toxicity.score(frame(spark), blank).collect())
     assert toxicity.fit(empty(spark), labels.limit(0)).scores(Text(b"", np.array([0, 0]))).shape == (1,)
+
+
+def test_runs_are_counted_text_by_text():
+    def counts(texts):
+        raw = [t.encode() for t in texts]
+        return toxicity._gram_counts(Text(b"".join(raw), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)))
+
+    texts = ["abc", "def", "", "no letters 12", "é"]
+    extra = counts([""])                                            # edges alone
+    together = counts(texts)
+    apart = sum(counts([t]) for t in texts)
+    edges = np.flatnonzero(extra)
+    assert (np.delete(together, edges) == np.delete(apart, edges)).all()
+
+
+def test_workers_get_plain_arrays():
+    scorer = toxicity.Scorer(np.zeros((1, 2, 2)), np.zeros(0, np.uint64), np.zeros(0), 0.5)
+    assert all(isinstance(part, (np.ndarray, float)) for part in scorer.parts())

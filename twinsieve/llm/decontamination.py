@@ -48,6 +48,13 @@ class Block:
     names: list
     words: list[np.ndarray]
 
+    @classmethod
+    def of(cls, fields: dict) -> Block:
+        """A block from the fields of another one."""
+        made = cls.__new__(cls)
+        vars(made).update(fields)
+        return made
+
     def __post_init__(self):
         self.widths = sorted({min(MATCH_WORDS, len(w)) for w in self.words if len(w)})
         self.seeds = {}
@@ -176,16 +183,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = "id long, item long, coverage double, n_tiles int, tiled_words int"
     found = spark.createDataFrame([], schema)
     for block in blocks(benchmark, item_col):
-        shared = spark.sparkContext.broadcast(block)
+        shared = spark.sparkContext.broadcast(vars(block))         # plain arrays, which workers can read without this module
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            held = Block.of(shared.value)
             for batch in batches:
                 for rows, text in chunks(batch, "text"):
-                    hits = list(_leaks(shared.value, text, coverage))
+                    hits = list(_leaks(held, text, coverage))
                     if hits:
                         d, i, share, n, tiled = zip(*hits)
                         yield pa.RecordBatch.from_arrays(
-                            [rows.column(0).take(pa.array(d)), pa.array([shared.value.names[k] for k in i], pa.int64()),
+                            [rows.column(0).take(pa.array(d)), pa.array([held.names[k] for k in i], pa.int64()),
                              pa.array(share, pa.float64()), pa.array(n, pa.int32()), pa.array(tiled, pa.int32())],
                             ["id", "item", "coverage", "n_tiles", "tiled_words"])
 
@@ -198,14 +206,15 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """``docs`` without the rows that hold a benchmark item; all columns as they were, nothing shuffled."""
     kept = docs
     for block in blocks(benchmark, item_col):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        shared = docs.sparkSession.sparkContext.broadcast(vars(block))
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            held = Block.of(shared.value)
             for batch in batches:
                 for rows, text in chunks(batch, text_col):
-                    held = np.zeros(rows.num_rows, bool)
-                    held[[hit[0] for hit in _leaks(shared.value, text, coverage)]] = True
-                    yield rows.filter(pa.array(~held))
+                    leaky = np.zeros(rows.num_rows, bool)
+                    leaky[[hit[0] for hit in _leaks(held, text, coverage)]] = True
+                    yield rows.filter(pa.array(~leaky))
 
         kept = kept.mapInArrow(clean, docs.schema)
     return kept

@@ -61,9 +61,10 @@ _IS_TRIM[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 # ---------------------------------------------------------------- character model
 
 def _gram_counts(text: Text) -> np.ndarray:
-    symbols = _CLASS[np.frombuffer(text.data, np.uint8)]
-    if len(symbols) < ORDER:
-        return np.zeros(_SYMBOLS ** ORDER, np.int64)
+    """Runs of ORDER symbols of every text by itself: edges before, between and after the texts keep them apart."""
+    apart = b" " * (ORDER - 1)
+    texts = apart.join(text.data[a:b] for a, b in zip(text.offsets[:-1].tolist(), text.offsets[1:].tolist()))
+    symbols = _CLASS[np.frombuffer(apart + texts + apart, np.uint8)]
     room = len(symbols) - ORDER + 1
     grams = np.zeros(room, np.int64)
     for k in range(ORDER):
@@ -284,6 +285,10 @@ class Scorer:
     weights: np.ndarray
     bias: float
 
+    def parts(self) -> tuple:
+        """Plain arrays and numbers, which workers can read without this module."""
+        return self.model, self.keys, self.weights, self.bias
+
     def scores(self, text: Text) -> np.ndarray:
         docs, found = features(text, self.model)
         flags = np.zeros(1 << 16, bool)
@@ -370,12 +375,13 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
     Null and empty texts get the score of a text without known words. Repeated rows are repeated; other columns
     are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)   # features that passed the test on a bounded sample
+    shared = docs.sparkSession.sparkContext.broadcast(scorer.parts())   # features that passed the test on a bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used = Scorer(*shared.value)
         for batch in batches:
             for rows, text in chunks(batch, "text"):
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(shared.value.scores(text), pa.float64())], ["id", "score"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(used.scores(text), pa.float64())], ["id", "score"])
 
     chosen = docs.select(c(id_col).cast("long").alias("id"), c(text_col).cast("string").alias("text"))
     scored = chosen.mapInArrow(run, "id long, score double")
@@ -385,11 +391,12 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
 
 def without_toxic(docs: DataFrame, scorer: Scorer, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows scored at the cut or above; all columns as they were, nothing shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    shared = docs.sparkSession.sparkContext.broadcast(scorer.parts())
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used = Scorer(*shared.value)
         for batch in batches:
             for rows, text in chunks(batch, text_col):
-                yield rows.filter(pa.array(shared.value.scores(text) < CUT))
+                yield rows.filter(pa.array(used.scores(text) < CUT))
 
     return docs.mapInArrow(clean, docs.schema)
