@@ -93,9 +93,8 @@ def value_edges(df: DataFrame, value: str, most: int | None = None) -> list[floa
 
 def _between(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:
     """Add ``__bucket``: the number of cut points up to the value."""
-    if not edges:
-        return df.withColumn(_BUCKET, F.lit(0.0))
-    splits = [-math.inf, *edges, math.inf]
+    # A constant bucket would turn the join by bucket into a product, so there is one cut point at least.
+    splits = [-math.inf, *(edges or [0.0]), math.inf]
     return Bucketizer(splits=splits, inputCol=value, outputCol=_BUCKET).transform(df)
 
 
