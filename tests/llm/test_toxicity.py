@@ -108,3 +108,29 @@ def test_runs_are_counted_text_by_text():
 def test_workers_get_plain_arrays():
     scorer = toxicity.Scorer(np.zeros((1, 2, 2)), np.zeros(0, np.uint64), np.zeros(0), 0.5)
     assert all(isinstance(part, (np.ndarray, float)) for part in scorer.parts())
+
+
+def test_repeated_ids_and_telling_features(spark):
+    """A training id that stands in many rows teaches once; the chosen features are those of a plain count."""
+    docs = [(i, f"word{i % 7} " + ("awful nasty" if i % 3 == 0 else "fine lovely")) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    once = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    many = toxicity.fit(spark.createDataFrame(docs + docs[:1] * 500 + docs[4:5] * 300, "doc_id long, text string"), labels)
+    assert len(once.keys) and (once.keys == many.keys).all()
+    taught = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    toxic = sum(i % 3 == 0 for i in taught)
+    telling = set()
+    for word in ("awful", "nasty", "fine", "lovely", *(f"word{k}" for k in range(7))):
+        has = [i for i in taught if word in docs[i][1].split()]
+        ours = sum(i % 3 == 0 for i in has)
+        pooled = len(has) / len(taught)
+        spread = (max(pooled * (1 - pooled), 1e-12) * (1 / toxic + 1 / (len(taught) - toxic))) ** 0.5
+        if len(has) >= toxicity.LEAST_DOCS and abs(ours / toxic - (len(has) - ours) / (len(taught) - toxic)) / spread >= toxicity.LEAST_Z:
+            telling.add(word)
+    kept = {w for w in ("awful", "nasty", "fine", "lovely", *(f"word{k}" for k in range(7)))
+            if hash_spans(w.encode(), np.array([0]), np.array([len(w)]))[0] in once.keys}
+    assert kept == telling and {"awful", "nasty"} <= kept
+
+
+def test_long_runs_of_signs_weigh_each_sign(model):
+    assert toxicity.restore("=" * 5000 + "1d10t", model).endswith("idiot")

@@ -9,6 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 
+BATCH_BYTES = 4 << 20       # Arrow batches of whole texts; a longer text is a batch of its own
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to BATCH_BYTES, unless it is lower already.
+
+    Rows hold whole texts, and each running task keeps several batches outside the heap.
+    """
+    held = spark.conf.get(_BATCH, None)
+    if held is not None and not 0 < int(held.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: compressed, pruned by column, safe from lost executors."""
     return _written(df, name)[0]

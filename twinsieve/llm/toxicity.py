@@ -9,7 +9,8 @@ own restoration. A logistic model over the restored words and their
 beginnings scores the document.
 
 The character model is counted over all texts. The classifier is fitted on a bounded sample of labelled rows
-(``SAMPLE_PER_CLASS``), drawn by hash.
+(``SAMPLE_PER_CLASS``), drawn by hash; Spark counts the features of its texts, and only those that tell the classes
+apart are gathered.
 """
 
 from __future__ import annotations
@@ -23,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import c
+from .stored import Tables, small_batches
 from .words import Text, chunks, hash_spans, mix
 
 SAMPLE_PER_CLASS = 3000     # labelled rows of each class that the classifier learns from
+MOST_FEATURES = 1 << 18     # size of the classifier: features that differ most (4 MB)
 BEGINNINGS = (4, 5, 6)      # a word's first bytes are features too, so inflected and compound forms count
 CUT = 0.7
 LEAST_DOCS = 3              # documents of the sample a feature must occur in
@@ -142,7 +145,7 @@ def restore(word: str, model: np.ndarray | list[float]) -> str:
     states = _SYMBOLS ** (ORDER - 1)
     best: dict[int, tuple[float, tuple | None]] = {_START: (0.0, None)}
     for readings in _arcs(word):
-        coded = [(reading, cost, [_SYMBOL[x] if (x := ord(sign)) < 256 else _OTHER for sign in reading[:8]])    # longer runs of other signs weigh no more
+        coded = [(reading, cost, [_SYMBOL[x] if (x := ord(sign)) < 256 else _OTHER for sign in reading])
                  for reading, cost in readings]
         after: dict[int, tuple[float, tuple | None]] = {}
         for before, (score, path) in best.items():
@@ -312,48 +315,69 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Scorer:
     """Character model over all rows, classifier over a bounded hash sample of labelled rows that are not held out.
 
-    Null labels teach nothing. With a class missing the scorer knows nothing and scores the share of toxic rows.
+    Null labels teach nothing; an id with several labels is toxic if one says so, one with several texts teaches the
+    first in byte order. With a class missing the scorer knows nothing and scores the share of toxic rows.
     """
+    small_batches(docs.sparkSession)
     model = character_model(docs, text_col)
     known = (labels.select(c(id_col).cast("long").alias("id"), c(label_col).cast("int").alias("y"))
              .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")))
     drawn = [known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_CLASS) for y in (0, 1)]
     sample = F.broadcast(drawn[0].union(drawn[1]))              # at most 2 * SAMPLE_PER_CLASS rows
     chosen = docs.select(c(id_col).cast("long").alias("id"), c(text_col).cast("string").alias("text")).join(sample, "id")
-    chosen = chosen.select("y", "text")
+    chosen = chosen.groupBy("id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    spark, tables = docs.sparkSession, Tables(docs.sparkSession)
+    shared = spark.sparkContext.broadcast(model)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, text in chunks(batch, "text", 1 << 20):
-                owner, found = features(text, model)
+                owner, found = features(text, shared.value)
                 pairs = np.unique(np.stack([owner.astype(np.uint64), found], 1), axis=0) if len(found) else np.zeros((0, 2), np.uint64)
                 ends = np.searchsorted(pairs[:, 0], np.arange(rows.num_rows + 1))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pairs[:, 1].copy().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([rows.column(0), lists], ["y", "found"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), lists], ["id", "y", "found"])
 
-    taught = chosen.mapInArrow(extract, "y int, found array<long>").toArrow()
-    y = np.asarray(taught.column("y").combine_chunks(), float)
-    if not len(y) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.0
+    taught = tables.stored(chosen.mapInArrow(extract, "id long, y int, found array<long>"), "toxicity-features")
+    n, toxic = taught.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if toxic in (0, n):
+        tables.drop_all()
+        share = toxic / n if n else 0.0
         return Scorer(model, np.zeros(0, np.uint64), np.zeros(0), math.log((share + 1e-9) / (1 - share + 1e-9)))
-    lists = taught.column("found").combine_chunks()
-    sizes = np.diff(np.asarray(lists.offsets))
-    return _fit(model, y, lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.repeat(np.arange(len(y)), sizes))
-
-
-def _fit(model: np.ndarray, y: np.ndarray, found: np.ndarray, rows: np.ndarray) -> Scorer:
-    """Keep features whose shares differ clearly, then logistic regression by adaptive gradient steps."""
-    keys, at = np.unique(found, return_inverse=True)
-    toxic = np.bincount(at, y[rows], len(keys))
-    clean = np.bincount(at, 1 - y[rows], len(keys))
-    n1, n0 = y.sum(), (1 - y).sum()
-    pooled = (toxic + clean) / len(y)
-    spread = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / n1 + 1 / n0))
-    kept = (toxic + clean >= LEAST_DOCS) & (np.abs(toxic / n1 - clean / n0) / spread >= LEAST_Z)
-    place = np.cumsum(kept) - 1
-    use = kept[at]
-    column, rows = place[at[use]], rows[use]
-    keys = keys[kept]
+    keys = np.sort(_telling(taught, n, toxic).toArrow().column("feature").to_numpy().view(np.uint64))
+    kept = spark.sparkContext.broadcast(keys)
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            found = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            at = np.minimum(np.searchsorted(kept.value, found), max(0, len(kept.value) - 1))
+            hit = kept.value[at] == found if len(kept.value) else np.zeros(len(found), bool)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            upto = np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], np.cumsum(sizes)])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(at[hit], pa.int32()))],
+                                             ["id", "y", "columns"])
+
+    # Rows of the bounded sample, with columns of the bounded classifier.
+    rows = taught.mapInArrow(select, "id long, y int, columns array<int>").toArrow().sort_by("id")
+    tables.drop_all()
+    lists = rows.column("columns").combine_chunks()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    return _fit(model, keys, rows.column("y").to_numpy().astype(float), np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy(zero_copy_only=False))
+
+
+def _telling(taught: DataFrame, n: int, n_toxic: int) -> DataFrame:
+    """Features whose shares of the two classes differ clearly: column ``feature``."""
+    seen = taught.select("y", F.explode("found").alias("feature")).groupBy("feature").agg(F.sum("y").alias("toxic"), F.count("*").alias("seen"))
+    clean, pooled = F.col("seen") - F.col("toxic"), F.col("seen") / n
+    spread = F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-12)) * (1 / n_toxic + 1 / (n - n_toxic)))
+    z = F.abs(F.col("toxic") / n_toxic - clean / (n - n_toxic)) / spread
+    clear = seen.filter(F.col("seen") >= LEAST_DOCS).withColumn("z", z).filter(F.col("z") >= LEAST_Z)
+    return clear.orderBy(F.desc("z"), "feature").limit(MOST_FEATURES).select("feature")
+
+
+def _fit(model: np.ndarray, keys: np.ndarray, y: np.ndarray, rows: np.ndarray, column: np.ndarray) -> Scorer:
+    """Logistic regression by adaptive gradient steps; row ``rows[i]`` has feature ``keys[column[i]]``."""
     weights, bias = np.zeros(len(keys)), 0.0
     past, past_bias = np.full(len(keys), 1e-8), 1e-8
     for _ in range(EPOCHS):
@@ -375,6 +399,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
     Null and empty texts get the score of a text without known words. Repeated rows are repeated; other columns
     are not read.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(scorer.parts())   # features that passed the test on a bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,6 +416,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
 
 def without_toxic(docs: DataFrame, scorer: Scorer, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows scored at the cut or above; all columns as they were, nothing shuffled."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(scorer.parts())
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
