@@ -186,3 +186,11 @@ def test_autoencoder_learns_the_same_under_any_session_setting(spark, monkeypatc
             spark.conf.set(k, v)
     for other in found[1:]:
         assert max(abs(other[k] - v) for k, v in found[0].items()) < 1e-9
+
+
+def test_forest_keeps_node_ids_and_grows_the_same_trees(planted):
+    rows = planted.withColumn("features", array_to_vector("features")).withColumn("weight", F.lit(1.0))
+    kept = sup.make_classifier("forest", numTrees=5)
+    assert kept.getCacheNodeIds()
+    shipped = sup.make_classifier("forest", numTrees=5, cacheNodeIds=False)
+    assert kept.fit(rows).toDebugString.split("\n", 1)[1] == shipped.fit(rows).toDebugString.split("\n", 1)[1]
