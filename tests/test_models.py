@@ -188,6 +188,31 @@ def test_autoencoder_learns_the_same_under_any_session_setting(spark, monkeypatc
         assert max(abs(other[k] - v) for k, v in found[0].items()) < 1e-9
 
 
+def test_cross_validation_fits_each_fold_once_and_agrees_with_the_validator(spark, planted, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from twinsieve.operators.sampling import kfold_assign, with_class_weight
+
+    rows = planted.withColumn("features", array_to_vector("features"))
+    fits, fit = [], LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, df: fits.append(1) or fit(self, df))
+    found = sup.cv_scores(rows, ["row_id"], ["linear"], params={"linear": {"maxIter": 20}})
+    assert len(fits) == sup.FOLDS
+    held = kfold_assign(with_class_weight(rows, "y"), ["row_id"], "y", sup.FOLDS, 42)
+    f1 = MulticlassClassificationEvaluator(labelCol="y", metricName="fMeasureByLabel", metricLabel=1.0)
+    check = CrossValidator(estimator=sup.make_classifier("linear", maxIter=20), estimatorParamMaps=ParamGridBuilder().build(), evaluator=f1,
+                           numFolds=sup.FOLDS, foldCol="fold", seed=42)
+    assert found["linear"] == pytest.approx(check.fit(held).avgMetrics[0])
+
+
+def test_an_empty_fold_is_an_error(spark):
+    rows = spark.createDataFrame([(i, [float(i)], i % 2) for i in range(4)], "row_id long, features array<double>, y int")
+    with pytest.raises(ValueError):
+        sup.cv_scores(rows.withColumn("features", array_to_vector("features")), ["row_id"], ["linear"])
+
+
 def test_forest_keeps_node_ids_and_grows_the_same_trees(planted):
     rows = planted.withColumn("features", array_to_vector("features")).withColumn("weight", F.lit(1.0))
     kept = sup.make_classifier("forest", numTrees=5)
