@@ -49,3 +49,19 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "l_shipdate" not in columns and "l_suppkey" not in columns
     columns = re.search(r"ReadSchema: struct<([^>]*)>", plan(QUERIES["confusion"](spark, sf_dir), "formatted")).group(1)
     assert sorted(x.split(":")[0] for x in columns.split(",")) == ["event_type", "value"]
+
+
+def test_recheck_job_merges_its_training_connections_once(spark, tmp_path, monkeypatch):
+    import datetime
+
+    from workload import models
+
+    rows = [(i, i % 5, i % 4, i % 3 + 1, float(i % 50 + 1), 100.0 + i, (i % 11) / 100, (i % 9) / 100, "ANR"[i % 7 % 3], datetime.datetime(1995, 1, 1 + i % 28))
+            for i in range(600)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+                          " l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, train = [], models.supervised.train_rescorer
+    monkeypatch.setattr(models.supervised, "train_rescorer", lambda dev, *args, **more: seen.extend(dev.inputFiles()) or train(dev, *args, **more))
+    found = models.recheck_job(spark, str(tmp_path)).first()
+    assert seen and not [path for path in seen if "lineitem" in path]
+    assert found["flagged"] == sum(r[4] >= 45 for r in rows)
