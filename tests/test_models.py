@@ -8,7 +8,7 @@ from twinsieve.functions.columns import c
 from twinsieve.operators import supervised as sup
 from twinsieve.operators.curves import roc_auc
 from twinsieve.operators.detectors import autoencoder as ae
-from twinsieve.operators.detectors.iforest import IsolationForest, IsolationForestModel, average_path
+from twinsieve.operators.detectors.iforest import IsolationForest, IsolationForestModel, average_path, grow_tree
 from twinsieve.operators.detectors.simple import PcaDetector, PcaDetectorModel, TwoMeansCutoff, TwoMeansCutoffModel, alert_cluster
 from twinsieve.operators.features import RowPreprocessor
 from twinsieve.plans.flows import build_flow_dataset
@@ -219,3 +219,10 @@ def test_forest_keeps_node_ids_and_grows_the_same_trees(planted):
     assert kept.getCacheNodeIds()
     shipped = sup.make_classifier("forest", numTrees=5, cacheNodeIds=False)
     assert kept.fit(rows).toDebugString.split("\n", 1)[1] == shipped.fit(rows).toDebugString.split("\n", 1)[1]
+
+
+def test_a_tree_splits_neighbouring_doubles():
+    x = np.array([[0.05], [np.nextafter(0.05, 1)]])
+    for seed in range(40):
+        nodes = grow_tree(x, 0, seed)
+        assert [n[6] for n in nodes] == [2, 1, 1]

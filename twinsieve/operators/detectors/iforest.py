@@ -68,7 +68,8 @@ def grow_tree(x: np.ndarray, tree: int, seed: int) -> list[tuple]:
             nodes.append([tree, me, -1, 0.0, -1, -1, len(rows), depth])
             continue
         feature = int(rng.choice(usable))
-        split = float(rng.uniform(low[feature], high[feature]))
+        # Between neighbouring doubles the draw may round up to the high end, which would leave the right side empty.
+        split = min(float(rng.uniform(low[feature], high[feature])), float(np.nextafter(high[feature], low[feature])))
         nodes.append([tree, me, feature, split, -1, -1, len(rows), depth])
         goes_left = x[rows, feature] <= split
         open_parts += [(rows[~goes_left], depth + 1, (me, 5)), (rows[goes_left], depth + 1, (me, 4))]
