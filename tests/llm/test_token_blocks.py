@@ -60,6 +60,24 @@ def test_special_strings_in_many_texts(library):
     assert found[-3] == [437, 220, 50256, 1306, 2]
 
 
+
+def test_fresh_units_are_joined_at_once(library, monkeypatch):
+    """Odd neighbours go alone, special strings are one id, and cuts are looked for a few times only, however many units."""
+    calls, cuts = [], blocks.unit_cuts
+    monkeypatch.setattr(blocks, "unit_cuts", lambda *a: calls.append(1) or cuts(*a))
+    encoder = blocks.ByteEncoder(PATH)
+    calls.clear()
+    draw = np.random.default_rng(6)
+    odd = ["a", "é", "\n", "  ", " ", "　b", "'s", "don't", "<|endoftext|>", "x y"]
+    texts = [f" w{k}" if draw.random() < 0.9 else odd[k % len(odd)] + str(k) * (k % 3) for k in range(20_000)] + odd
+    ids, lengths = encoder.memory.encode([t.encode() for t in texts])
+    assert len(calls) <= 8 and lengths.sum() == len(ids)
+    found = [part.tolist() for part in np.split(ids, np.cumsum(lengths)[:-1])]
+    # A special string with digits after it is no unit that the cutting makes.
+    same = [k for k, t in enumerate(texts) if t == "<|endoftext|>" or "<|" not in t]
+    assert [found[k] for k in same] == [library.encode(texts[k], add_special_tokens=False).ids for k in same]
+
+
 def _expected(rows, library):
     out, at = [], 0
     for key, text in rows:

@@ -292,13 +292,13 @@ def unit_cuts(data: bytes, offsets: np.ndarray) -> np.ndarray:
     n = len(b)
     if n < 3:
         return np.unique(offsets)
-    space, lead = _IS_SPACE[b], _IS_LEAD[b]
+    space = _IS_SPACE[b]
     at = np.flatnonzero(space[1:-1] & ~space[:-2] & ~space[2:]) + 1
-    doc = np.searchsorted(offsets, at, side="right") - 1
-    inside = (at > offsets[doc]) & (at + 1 < offsets[doc + 1])
-    at = at[inside]
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    at = at[~(edge[at] | edge[at + 1])]
     wide = b[at - 1] >= 0x80
-    odd = lead[at + 1] | wide & (lead[np.maximum(at - 2, 0)] | lead[np.maximum(at - 3, 0)])
+    odd = _IS_LEAD[b[at + 1]] | wide & (_IS_LEAD[b[np.maximum(at - 2, 0)]] | _IS_LEAD[b[np.maximum(at - 3, 0)]])
     at = at[~odd]
     after = at[b[at] != 32] + 1
     cuts = np.zeros(n + 1, bool)
@@ -311,43 +311,40 @@ def unit_cuts(data: bytes, offsets: np.ndarray) -> np.ndarray:
 JOINED_UNITS = 1024
 
 
-def _encode_joined(tokenizer, width: np.ndarray, units: list[bytes]) -> list:
-    """Ids of each unit. Units that certainly start a new piece after each other are encoded as one text and told apart by bytes."""
-    out: list = [None] * len(units)
+def _encode_joined(tokenizer, width: np.ndarray, special: dict[bytes, int], units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all units end to end, number of ids of each unit).
+
+    Units that certainly start a new piece after each other are encoded as one text and told apart by bytes.
+    """
+    whole = [special.get(u) for u in units]
+    kept = np.array([i for i, number in enumerate(whole) if number is None], np.int64)
     sizes = np.fromiter(map(len, units), np.int64, len(units))
-    # A group keeps only units whose start is a certain cut where they stand; the rest goes alone.
-    alone = []
-    groups, texts = [], []
-    for low in range(0, len(units), JOINED_UNITS):
-        part = range(low, min(len(units), low + JOINED_UNITS))
-        joined = b"".join(units[i] for i in part)
-        starts = np.cumsum(sizes[part.start:part.stop]) - sizes[part.start:part.stop]
-        sure = np.isin(starts, unit_cuts(joined, np.array([0, len(joined)])))
-        sure &= np.append(sure[1:], True)
+    while True:     # leaving units out makes new neighbours, so look again
+        data = b"".join([units[i] for i in kept.tolist()])
+        ends = np.cumsum(sizes[kept])
+        starts = ends - sizes[kept]
+        cut = np.zeros(len(data) + 1, bool)
+        cut[unit_cuts(data, np.array([0, len(data)]))] = True
+        sure = cut[starts] & cut[ends]
         if sure.all():
-            groups.append((list(part), starts))
-            texts.append(joined.decode())
-            continue
-        kept = [i for i, ok in zip(part, sure.tolist()) if ok]
-        alone += [i for i, ok in zip(part, sure.tolist()) if not ok]
-        if kept:
-            text = b"".join(units[i] for i in kept)
-            # Leaving units out makes new neighbours, so look again.
-            starts = np.cumsum(sizes[kept]) - sizes[kept]
-            if np.isin(starts, unit_cuts(text, np.array([0, len(text)]))).all():
-                groups.append((kept, starts))
-                texts.append(text.decode())
-            else:
-                alone += kept
-    for (kept, starts), found in zip(groups, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-        ids = found.ids
-        ends = np.cumsum(width[ids])
-        cuts = [0, *np.searchsorted(ends, starts[1:], side="right").tolist(), len(ids)]
-        for k, i in enumerate(kept):
-            out[i] = ids[cuts[k]:cuts[k + 1]]
-    for i, found in zip(alone, tokenizer.encode_batch_fast([units[i].decode() for i in alone], add_special_tokens=False)):
-        out[i] = found.ids
-    return out
+            break
+        kept = kept[sure]
+    bounds = np.append(starts[::JOINED_UNITS], len(data)).tolist()
+    texts = [data[low:high].decode() for low, high in zip(bounds[:-1], bounds[1:])]
+    parts = [np.array(found.ids, np.uint32) for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    ids = np.concatenate([np.zeros(0, np.uint32), *parts])
+    upto = np.searchsorted(np.cumsum(width[ids]), ends, side="right")
+    lone = np.ones(len(units), bool)
+    lone[kept] = False
+    lone = np.flatnonzero(lone)
+    plain = [i for i in lone.tolist() if whole[i] is None]
+    found = dict(zip(plain, tokenizer.encode_batch_fast([units[i].decode() for i in plain], add_special_tokens=False)))
+    apart = [np.array(found[i].ids if whole[i] is None else [whole[i]], np.uint32) for i in lone.tolist()]
+    order = np.concatenate([kept, lone])
+    lengths, starts = np.zeros((2, len(units)), np.int64)
+    lengths[order] = np.concatenate([np.diff(upto, prepend=0), np.fromiter(map(len, apart), np.int64, len(apart))])
+    starts[order] = np.cumsum(lengths[order]) - lengths[order]
+    return np.concatenate([ids, *apart])[gather_ragged(starts, lengths)], lengths
 
 
 class ByteEncoder:
@@ -366,14 +363,7 @@ class ByteEncoder:
         for token, number in tokenizer.get_vocab().items():
             width[number] = len(token)
 
-        def encode(units: list[bytes]) -> list:
-            out = [[self.special[u]] if u in self.special else None for u in units]
-            rest = [i for i, ids in enumerate(out) if ids is None]
-            for i, ids in zip(rest, _encode_joined(tokenizer, width, [units[i] for i in rest])):
-                out[i] = ids
-            return out
-
-        self.memory = UnitCache(encode)
+        self.memory = UnitCache(lambda units: _encode_joined(tokenizer, width, self.special, units))
 
     def cuts(self, data: bytes, offsets: np.ndarray) -> np.ndarray:
         """Cuts of ``unit_cuts``, and around every special string; the text between these is split by itself."""

@@ -26,7 +26,7 @@ def worker_memory(name: str) -> dict:
 class UnitCache:
     """Ids of distinct units (byte strings), kept as flat arrays sorted by the unit's 64-bit hash.
 
-    ``encode`` turns a list of units into one id list each. It is asked once per distinct unit of a batch
+    ``encode`` turns a list of units into one id list each, or into (all ids end to end, ids of each unit). It is asked once per distinct unit of a batch
     that is not remembered. Results never depend on what is remembered.
     """
 
@@ -60,9 +60,13 @@ class UnitCache:
         place = np.empty(len(distinct), np.int64)
         place[codes[::-1]] = np.arange(len(codes))[::-1]        # first occurrence of each distinct unit
         fresh = np.flatnonzero(~known)
-        found = self.encode([data[starts[i]:ends[i]] for i in place[fresh]])
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+        spans = place[fresh]
+        found = self.encode([data[low:high] for low, high in zip(starts[spans].tolist(), ends[spans].tolist())])
+        if isinstance(found, tuple):
+            flat, lengths = found
+        else:
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         begins = len(self.ids) + np.cumsum(lengths) - lengths
         hashes = np.concatenate([self.hashes, distinct[fresh]])
         order = np.argsort(hashes, kind="stable")
