@@ -89,3 +89,17 @@ def test_odd_rows(spark, name):
     assert counts.count_tokens(empty(spark), tokenizer_path(name)).count() == 0
     with pytest.raises(ValueError):
         counts.count_tokens(frame(spark), "/nowhere/ranks.tiktoken")
+
+
+def test_texts_and_stretches_come_in_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(counts, "ENCODED_AT_ONCE", 7)
+    held = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+        assert counts.count_tokens(frame(spark), tokenizer_path(FILES[0])).count() == len(TEXTS)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 4 << 20
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", held) if held else spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    count = library(FILES[0])
+    stretches = [f" {'word' * k}{k}" for k in range(30)]
+    assert counts._json_counter(tokenizer_path(FILES[0])).lengths([s.encode() for s in stretches]) == [count(s) for s in stretches]

@@ -25,16 +25,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import c
 from .pieces import BLANK, load as load_pieces
+from .stored import small_batches
 from .token_blocks import unit_cuts
 from .units import worker_memory
 from .words import Text, chunks, hash_spans
 
 MOST_FREQUENT = 1 << 16     # pre-tokens in the broadcast table (1.5 MB)
-FREQUENT_IN_FOLD = 64       # occurrences in a fold that make a pre-token worth reporting
-FOLD = 2_000_000            # pre-tokens of one fold
+FREQUENT_IN_FOLD = 16       # occurrences in a fold that make a pre-token worth reporting
+FOLD = 500_000              # pre-tokens of one fold
 MOST_REMEMBERED = 1 << 20   # stretches a worker remembers (24 MB); beyond that it starts afresh
+ENCODED_AT_ONCE = 4096      # stretches given to the library in one call: each comes back as an object of about a KB
 LIMIT = 512
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 
 
 class LengthTable:
@@ -160,8 +162,11 @@ def _json_counter(path: str) -> Counter:
         return byte_level_cuts(data, offsets)
 
     def lengths(stretches: list[bytes]) -> list[int]:
-        found = tokenizer.encode_batch_fast([s.decode() for s in stretches], add_special_tokens=False)
-        return [len(e) for e in found]
+        found: list[int] = []
+        for low in range(0, len(stretches), ENCODED_AT_ONCE):
+            some = [s.decode() for s in stretches[low:low + ENCODED_AT_ONCE]]
+            found += map(len, tokenizer.encode_batch_fast(some, add_special_tokens=False))
+        return found
 
     return Counter(cuts, lengths, lambda text: text, known, LengthTable(MOST_REMEMBERED))
 
@@ -273,6 +278,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     known here are given whole texts, distinct ones of a batch once.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     table = spark.sparkContext.broadcast(frequent_lengths(docs, path, text_col)) if counter(path).table else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
