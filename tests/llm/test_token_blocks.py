@@ -22,6 +22,16 @@ def test_round_trip_of_random_ids(n):
     assert (blocks.decode_ids(blocks.encode_ids(ids, 50257), n, 50257) == ids).all()
 
 
+def test_nothing_is_learnt_after_the_last_round(monkeypatch):
+    calls, learn = [], blocks._Model.learn
+    monkeypatch.setattr(blocks._Model, "learn", lambda self, *a: calls.append(1) or learn(self, *a))
+    ids = (np.random.default_rng(1).zipf(1.3, 9000) % 50257).astype(np.uint32)
+    rounds = len(list(blocks._rounds(len(ids))))
+    raw = blocks.encode_ids(ids, 50257)
+    assert rounds > 2 and len(calls) == rounds - 1
+    assert (blocks.decode_ids(raw, len(ids), 50257) == ids).all() and len(calls) == 2 * (rounds - 1)
+
+
 def test_repetition_costs_little():
     ids = np.tile(np.arange(50, dtype=np.uint32), 2000)
     raw = blocks.encode_ids(ids, 50257)

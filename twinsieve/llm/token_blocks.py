@@ -20,6 +20,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +72,6 @@ class _Model:
         freq[int(np.argmax(freq))] += (1 << _BASE) - int(freq.sum())
         self.freq = freq.astype(np.uint64)
         self.cum = (np.cumsum(freq) - freq).astype(np.uint64)
-        self.by_part = np.repeat(np.arange(self.symbols, dtype=np.uint32), freq)
         _, two, one = self.outcomes
         seen = self.outcomes.sum(0)
         most = (1 << _SCALE) - (1 << _SCALE - 4)
@@ -82,6 +82,10 @@ class _Model:
         two_weight += (1 << _SCALE) - one_weight - two_weight - (step << _BASE)
         self.two_weight, self.one_weight, self.step = (x.astype(np.uint64) for x in (two_weight, one_weight, step))
 
+    def by_part(self) -> np.ndarray:
+        """Id of every order-0 part."""
+        return np.repeat(np.arange(self.symbols, dtype=np.uint32), self.freq.astype(np.int64))
+
     @staticmethod
     def slot(before: np.ndarray, last: np.ndarray) -> np.ndarray:
         key = (before.astype(np.uint64) << _PAIR) + last.astype(np.uint64)
@@ -143,7 +147,8 @@ def encode_ids(ids: np.ndarray, symbols: int) -> bytes:
         low_part = np.where(hit2, 0, np.where(hit1, w2, w2 + w1 + model.cum[part] * step))
         width = np.where(hit2, w2, np.where(hit1, w1, model.freq[part] * step))
         out += _range_encode(low_part.astype(np.uint64), width.astype(np.uint64), lengths, begins)
-        model.learn(part, last, two, one, kind, slot)
+        if end < len(ids):
+            model.learn(part, last, two, one, kind, slot)
     return b"".join(out)
 
 
@@ -152,12 +157,14 @@ def _range_encode(low_part, width, lengths, begins) -> list[bytes]:
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     owners, words = [], []
     numbers = np.arange(lanes, dtype=np.int32)
-    for step in range(int(lengths.max())):
+    steps = int(lengths.max())
+    at = np.minimum(begins[None, :] + np.arange(steps)[:, None], len(width) - 1)
+    low_part, width = low_part[at], width[at]
+    for step in range(steps):
         live = lanes if step < lengths[-1] else int(np.searchsorted(-lengths, -step))
-        at = begins[:live] + step
         part = span[:live] >> np.uint64(_SCALE)
-        lo = low[:live] + low_part[at] * part
-        sp = width[at] * part
+        lo = low[:live] + low_part[step, :live] * part
+        sp = width[step, :live] * part
         out = np.flatnonzero(sp < _TOP)
         if len(out):
             l, s = lo[out], sp[out]
@@ -194,7 +201,7 @@ def decode_ids(payload: bytes, n: int, symbols: int) -> np.ndarray:
         before = last << _PAIR
         two_table = model.after_two.astype(np.uint64) << _WORD | model.trust_two * np.uint64(4)
         one_table = model.after_one.astype(np.uint64) << _WORD | model.trust_one
-        order0 = model.cum << _WORD | model.freq
+        order0, by_part = model.cum << _WORD | model.freq, model.by_part()
         both_weights = model.two_weight + model.one_weight
         kept = []
         for step in range(int(lengths.max())):
@@ -213,7 +220,7 @@ def decode_ids(payload: bytes, n: int, symbols: int) -> np.ndarray:
             plain = value >= both
             part_of = (value - both) // unit
             part_of[~plain] = 0
-            third = model.by_part[part_of.view(np.int64)]
+            third = by_part[part_of.view(np.int64)]
             entry = order0[third]
             is_two = value < w2
             got = np.where(is_two, two, np.where(plain, third, one))
@@ -231,10 +238,12 @@ def decode_ids(payload: bytes, n: int, symbols: int) -> np.ndarray:
                 lo[out], sp[out] = l << _WORD, s << _WORD
             low[:live], span[:live] = lo, sp
             part[begins[:live] + step] = got
-            kept.append((live, two, one, kind, slot))
+            if end < n:
+                kept.append((live, two, one, kind, slot))
             before[:live] = after << _PAIR
             last[:live] = got
-        _relearn(model, part, lengths, begins, kept)
+        if end < n:
+            _relearn(model, part, lengths, begins, kept)
     return ids.astype(np.uint32)
 
 
@@ -316,8 +325,8 @@ def _encode_joined(tokenizer, width: np.ndarray, special: dict[bytes, int], unit
 
     Units that certainly start a new piece after each other are encoded as one text and told apart by bytes.
     """
-    whole = [special.get(u) for u in units]
-    kept = np.array([i for i, number in enumerate(whole) if number is None], np.int64)
+    whole = {} if special.keys().isdisjoint(units) else {i: special[u] for i, u in enumerate(units) if u in special}
+    kept = np.delete(np.arange(len(units)), list(whole))
     sizes = np.fromiter(map(len, units), np.int64, len(units))
     while True:     # leaving units out makes new neighbours, so look again
         data = b"".join([units[i] for i in kept.tolist()])
@@ -337,14 +346,15 @@ def _encode_joined(tokenizer, width: np.ndarray, special: dict[bytes, int], unit
     lone = np.ones(len(units), bool)
     lone[kept] = False
     lone = np.flatnonzero(lone)
-    plain = [i for i in lone.tolist() if whole[i] is None]
+    plain = [i for i in lone.tolist() if i not in whole]
     found = dict(zip(plain, tokenizer.encode_batch_fast([units[i].decode() for i in plain], add_special_tokens=False)))
-    apart = [np.array(found[i].ids if whole[i] is None else [whole[i]], np.uint32) for i in lone.tolist()]
+    apart = [[whole[i]] if i in whole else found[i].ids for i in lone.tolist()]
     order = np.concatenate([kept, lone])
     lengths, starts = np.zeros((2, len(units)), np.int64)
     lengths[order] = np.concatenate([np.diff(upto, prepend=0), np.fromiter(map(len, apart), np.int64, len(apart))])
     starts[order] = np.cumsum(lengths[order]) - lengths[order]
-    return np.concatenate([ids, *apart])[gather_ragged(starts, lengths)], lengths
+    apart = np.fromiter(chain.from_iterable(apart), np.uint32, int(lengths[lone].sum()))
+    return np.concatenate([ids, apart])[gather_ragged(starts, lengths)], lengths
 
 
 class ByteEncoder:
