@@ -67,3 +67,16 @@ def test_query_digests(spark, sf_dir, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_workers_keep_little_and_get_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, str(64 << 20))
+        assert pieces.piece_digests(frame(spark), PATH).count() == len(TEXTS)
+        assert int(spark.conf.get(key).rstrip("b")) <= 4 << 20
+    finally:
+        spark.conf.set(key, held) if held else spark.conf.unset(key)
+    _, cache = pieces.load(PATH)
+    assert cache.most == pieces.MOST_UNITS <= 1 << 19

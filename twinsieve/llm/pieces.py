@@ -22,13 +22,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from ..functions.columns import c
+from .stored import small_batches
 from .units import UnitCache, worker_memory
 from .words import chunks, gather_ragged
 
 BLANK = "▁"
 _BLANK_BYTES = BLANK.encode()
 _UNKNOWN = -1               # a character outside the vocabulary: spelled in bytes, never merged
-MOST_PAIRS = 1_000_000
+MOST_PAIRS = 1 << 18
+MOST_UNITS = 1 << 19        # units remembered per worker (30 MB); workers keep them after the task
 
 
 class PieceModel:
@@ -268,7 +270,7 @@ def load(path: str) -> tuple[PieceModel, UnitCache]:
     loaded = worker_memory("pieces")
     if path not in loaded:
         model = PieceModel(path)
-        loaded[path] = model, UnitCache(lambda units: [model.unit(u) for u in units])
+        loaded[path] = model, UnitCache(lambda units: [model.unit(u) for u in units], MOST_UNITS)
     return loaded[path]
 
 
@@ -305,10 +307,12 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     A null text is empty: just the begin and end ids, decoded to an empty text. Rows keep their partition;
     nothing is shuffled. Repeated rows give repeated rows; other columns are not read.
     """
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, _ = load(model_path)
         for batch in map(_plain_blanks, batches):
-            for rows, text in chunks(batch, "text", 4 << 20):
+            for rows, text in chunks(batch, "text"):
                 ids, sizes = encode_text(text.data, text.offsets, model_path)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()),
                                                  pa.array(ids, pa.int32()))
@@ -321,10 +325,12 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
 def piece_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): as ``encode_pieces``, digested where the ids are made."""
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, _ = load(model_path)
         for batch in map(_plain_blanks, batches):
-            for rows, text in chunks(batch, "text", 4 << 20):
+            for rows, text in chunks(batch, "text"):
                 ids, sizes = encode_text(text.data, text.offsets, model_path)
                 raw, ends = ids.astype("<u4").tobytes(), np.cumsum(sizes)
                 of_ids = [hashlib.sha256(raw[4 * (e - n):4 * e]).hexdigest() for e, n in zip(ends.tolist(), sizes.tolist())]
