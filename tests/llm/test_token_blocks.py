@@ -113,3 +113,17 @@ def test_odd_rows_and_small_blocks(spark, library, tmp_path, monkeypatch):
     ordered = [r.doc_id for r in sorted(found, key=lambda r: r.start)]
     assert ordered[0] is None and ordered[1:] == sorted(ordered[1:])
     assert blocks.token_digests(empty(spark), PATH).count() == 0
+
+
+def test_texts_and_blocks_come_in_small_batches(spark, tmp_path):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, str(64 << 20))
+        blocks.write_token_blocks(frame(spark), str(tmp_path / "blocks"), PATH)
+        assert int(spark.conf.get(key).rstrip("b")) <= 4 << 20
+        spark.conf.set(key, str(64 << 20))
+        assert blocks.read_token_blocks(spark, str(tmp_path / "blocks"), PATH).count() == len(TEXTS)
+        assert int(spark.conf.get(key).rstrip("b")) <= 4 << 20
+    finally:
+        spark.conf.set(key, held) if held else spark.conf.unset(key)
