@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import c
 from .stored import Tables, small_batches
+from .units import tidied
 from .words import Text, chunks, hash_spans, mix
 
 SAMPLE_PER_CLASS = 3000     # labelled rows of each class that the classifier learns from
@@ -95,7 +96,7 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["gram", "n"])
 
-    counted = docs.select(c(text_col).cast("string").alias("text")).mapInArrow(count, "gram int, n long")
+    counted = docs.select(c(text_col).cast("string").alias("text")).mapInArrow(tidied(count), "gram int, n long")
     found = counted.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()      # at most 614,656 rows
     counts = np.zeros(_SYMBOLS ** ORDER)
     counts[found.column("gram").to_numpy()] = found.column("n").to_numpy()
@@ -338,7 +339,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pairs[:, 1].copy().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), lists], ["id", "y", "found"])
 
-    taught = tables.stored(chosen.mapInArrow(extract, "id long, y int, found array<long>"), "toxicity-features")
+    taught = tables.stored(chosen.mapInArrow(tidied(extract), "id long, y int, found array<long>"), "toxicity-features")
     n, toxic = taught.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if toxic in (0, n):
         tables.drop_all()
@@ -359,7 +360,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                                              ["id", "y", "columns"])
 
     # Rows of the bounded sample, with columns of the bounded classifier.
-    rows = taught.mapInArrow(select, "id long, y int, columns array<int>").toArrow().sort_by("id")
+    rows = taught.mapInArrow(tidied(select), "id long, y int, columns array<int>").toArrow().sort_by("id")
     tables.drop_all()
     lists = rows.column("columns").combine_chunks()
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
@@ -409,7 +410,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(used.scores(text), pa.float64())], ["id", "score"])
 
     chosen = docs.select(c(id_col).cast("long").alias("id"), c(text_col).cast("string").alias("text"))
-    scored = chosen.mapInArrow(run, "id long, score double")
+    scored = chosen.mapInArrow(tidied(run), "id long, score double")
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score",
                          (F.col("score") >= CUT).cast("int").alias("predicted"))
 
@@ -425,4 +426,4 @@ def without_toxic(docs: DataFrame, scorer: Scorer, text_col: str = "text") -> Da
             for rows, text in chunks(batch, text_col):
                 yield rows.filter(pa.array(used.scores(text) < CUT))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(tidied(clean), docs.schema)
