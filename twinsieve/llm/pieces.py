@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame
 
 from ..functions.columns import c
 from .stored import small_batches
-from .units import UnitCache, worker_memory
+from .units import UnitCache, give_back, worker_memory
 from .words import chunks, gather_ragged
 
 BLANK = "▁"
 _BLANK_BYTES = BLANK.encode()
 _UNKNOWN = -1               # a character outside the vocabulary: spelled in bytes, never merged
 MOST_PAIRS = 1 << 18
+CHUNK_BYTES = 1 << 19       # text encoded at once; a longer document is a chunk of its own
 MOST_UNITS = 1 << 19        # units remembered per worker (30 MB); workers keep them after the task
 
 
@@ -312,12 +313,13 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, _ = load(model_path)
         for batch in map(_plain_blanks, batches):
-            for rows, text in chunks(batch, "text"):
+            for rows, text in chunks(batch, "text", CHUNK_BYTES):
                 ids, sizes = encode_text(text.data, text.offsets, model_path)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()),
                                                  pa.array(ids, pa.int32()))
                 decoded = pa.array([t.decode(errors="replace") for t in model.decode_all(ids, sizes)], pa.string())
                 yield pa.RecordBatch.from_arrays([rows.column(0), lists, decoded], ["id", "ids", "decoded"])
+            give_back()
 
     chosen = docs.select(c(id_col).cast("long").alias("id"), c(text_col).cast("string").alias("text"))
     return chosen.mapInArrow(run, "id long, ids array<int>, decoded string").withColumnRenamed("id", id_col)
@@ -330,13 +332,14 @@ def piece_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, _ = load(model_path)
         for batch in map(_plain_blanks, batches):
-            for rows, text in chunks(batch, "text"):
+            for rows, text in chunks(batch, "text", CHUNK_BYTES):
                 ids, sizes = encode_text(text.data, text.offsets, model_path)
                 raw, ends = ids.astype("<u4").tobytes(), np.cumsum(sizes)
                 of_ids = [hashlib.sha256(raw[4 * (e - n):4 * e]).hexdigest() for e, n in zip(ends.tolist(), sizes.tolist())]
                 of_text = [hashlib.sha256(t).hexdigest() for t in model.decode_all(ids, sizes)]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sizes, pa.int64()), pa.array(of_ids), pa.array(of_text)],
                                                  ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            give_back()
 
     chosen = docs.select(c(id_col).cast("long").alias("id"), c(text_col).cast("string").alias("text"))
     return (chosen.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
