@@ -228,8 +228,8 @@ def test_a_tree_splits_neighbouring_doubles():
         assert [n[6] for n in nodes] == [2, 1, 1]
 
 
-def test_tasks_of_a_forest_hold_few_statistics_at_a_time():
+def test_tasks_of_a_forest_hold_few_statistics_at_a_time(spark):
     """Two tasks beside each other in a heap of 1800 MB, of which Spark's own memory (0.6 of all but 300 MB) is taken."""
-    forest = supervised.make_classifier("forest")
+    forest = sup.make_classifier("forest")
     assert 2 * forest.getMaxMemoryInMB() <= 0.4 * (1800 - 300)
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMaxBins()) == (300, 20, 32)
